@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from hausprep.registry import listing_queries  # noqa: F401  (registration side effects)
+from hausprep.registry import (  # noqa: F401  (registration side effects)
+    listing_queries,
+    table_queries,
+    token_queries,
+)
 from hausprep.registry.core import ORACLE, QUERIES, QueryFn
 
 
