@@ -169,22 +169,30 @@ def iqr_bounds(df: DataFrame, column: str, *, factor: float = 1.5,
                     (F.col("q3") + F.lit(factor) * iqr).alias("upper"))
 
 
+def iqr_fences(df: DataFrame, column: str, *, factor: float = 1.5,
+               num_ranges: int | None = None) -> dict[str, float | None]:
+    """The one-row result of :func:`iqr_bounds` as numbers (five values reach
+    the driver, whatever the size of the column)."""
+    row = iqr_bounds(df, column, factor=factor, num_ranges=num_ranges).first()
+    return row.asDict() if row else {k: None for k in ("q1", "q3", "iqr", "lower", "upper")}
+
+
+def _outside(column: str, fences: dict) -> Column:
+    v = qcol(column)
+    if fences["lower"] is None:
+        return F.lit(False)
+    return (v < F.lit(fences["lower"])) | (v > F.lit(fences["upper"]))
+
+
 def iqr_outlier_rows(df: DataFrame, column: str, *, factor: float = 1.5,
                      num_ranges: int | None = None) -> DataFrame:
-    """Rows outside the fences (strictly below or above).  The fences enter
-    as scalar subqueries: computed once, no join with the data."""
-    b = iqr_bounds(df, column, factor=factor, num_ranges=num_ranges)
-    v = qcol(column)
-    return df.where((v < b.select("lower").scalar()) | (v > b.select("upper").scalar()))
+    """Rows outside the fences (strictly below or above)."""
+    return df.where(_outside(column, iqr_fences(df, column, factor=factor, num_ranges=num_ranges)))
 
 
 def iqr_outliers(df: DataFrame, column: str, *, factor: float = 1.5,
                  num_ranges: int | None = None) -> DataFrame:
-    """Fences and the number of rows outside them."""
-    b = iqr_bounds(df, column, factor=factor, num_ranges=num_ranges)
-    v = qcol(column)
-    count = (df.select(v.alias("__v"))
-             .where((F.col("__v") < b.select("lower").scalar()) | (F.col("__v") > b.select("upper").scalar()))
-             .agg(F.count(F.lit(1)).alias("outliers")))
-    return b.select("q1", "q3", "iqr", "lower", "upper",
-                    count.select("outliers").scalar().alias("outliers"))
+    """Fences and the number of rows outside them (one row)."""
+    f = iqr_fences(df, column, factor=factor, num_ranges=num_ranges)
+    return df.agg(F.count_if(_outside(column, f)).alias("outliers")).select(
+        *[F.lit(f[k]).cast("double").alias(k) for k in ("q1", "q3", "iqr", "lower", "upper")], "outliers")

@@ -45,6 +45,11 @@ def dedupe_column_names(names: Sequence[str]) -> list[str]:
     return out
 
 
+def dedupe_columns(df: DataFrame) -> DataFrame:
+    """C2 on a frame whose column names repeat."""
+    return df.toDF(*dedupe_column_names(df.columns))
+
+
 def nan_to_null(df: DataFrame) -> DataFrame:
     """NaN -> null in float and double columns."""
     floats = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.FloatType, T.DoubleType))]

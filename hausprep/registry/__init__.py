@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from hausprep.registry import (  # noqa: F401  (registration side effects)
+    io_queries,
     listing_queries,
+    plan_queries,
     table_queries,
     token_queries,
 )
