@@ -4,10 +4,8 @@ Cells such as ``"['Forced Air', 'Hot Water']"`` or ``"RV Parking; Landscaped"``
 are text, not JSON.  Every function here returns a native Spark ``Column``:
 the work stays inside whole-stage code generation, no Python runs per row.
 
-Tokenising avoids higher-order lambdas: the text is cleaned, lower-cased
-and stripped once, then split on a separator pattern that swallows the
-whitespace around each separator.  That yields exactly the stripped pieces
-of a plain split followed by a per-piece strip.
+Tokenising follows the original rules exactly: clean, (``;`` -> ``,``),
+split on ``,``, strip every piece with Python's whitespace set, lower-case.
 """
 
 from __future__ import annotations
@@ -29,12 +27,6 @@ def whitespace_chars() -> str:
     return "".join(chr(c) for c in range(sys.maxunicode + 1) if chr(c).isspace())
 
 
-@lru_cache(maxsize=1)
-def _ws_class() -> str:
-    """A Java regex character class for :func:`whitespace_chars`."""
-    return "[" + "".join(f"\\u{ord(c):04X}" for c in whitespace_chars()) + "]"
-
-
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -51,8 +43,12 @@ def replace_literal(c: Column | str, old: str, new: str = "") -> Column:
 
 
 def clean_list_text(c: Column | str) -> Column:
-    """Drop the brackets and quotes of list-like text."""
-    return F.translate(_col(c), LIST_PUNCTUATION, "")
+    """Drop the brackets and quotes of list-like text (four literal
+    replacements: cheaper per row than ``translate``'s per-character map)."""
+    out = _col(c)
+    for ch in LIST_PUNCTUATION:
+        out = F.replace(out, F.lit(ch), F.lit(""))
+    return out
 
 
 def py_strip(c: Column | str) -> Column:
@@ -62,19 +58,28 @@ def py_strip(c: Column | str) -> Column:
 
 
 # ---- T3 / T4 ----------------------------------------------------------------
+#
+# Measured on 600k cells: splitting on the single character ``,`` takes the
+# non-regex fast path of ``String.split``, and stripping each piece with
+# ``btrim`` inside ``transform`` is about twice as fast as any regular
+# expression that swallows the whitespace around separators (a pattern
+# with the 25-character whitespace class is tried at every position).
+
+def _stripped_pieces(text: Column) -> Column:
+    ws = F.lit(whitespace_chars())
+    return F.transform(F.split(text, ",", -1), lambda piece: F.btrim(piece, ws))
+
 
 def tokens_vocab(c: Column | str) -> Column:
     """Vocabulary tokens - clean, split on ``,`` only, strip; case kept."""
-    ws = _ws_class()
-    return F.split(py_strip(clean_list_text(c)), f"{ws}*,{ws}*", -1)
+    return _stripped_pieces(clean_list_text(c))
 
 
 def tokens_match(c: Column | str) -> Column:
     """T4: match tokens - clean, ``;`` also separates, strip, lower-case.
 
     A missing cell gives a missing array (and therefore no hit)."""
-    ws = _ws_class()
-    return F.split(py_strip(F.lower(clean_list_text(c))), f"{ws}*[,;]{ws}*", -1)
+    return _stripped_pieces(F.replace(F.lower(clean_list_text(c)), F.lit(";"), F.lit(",")))
 
 
 # ---- T6 / T7 / T8 -----------------------------------------------------------

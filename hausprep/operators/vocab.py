@@ -86,17 +86,22 @@ def flag_membership(
     The row key of the join strategies comes from a reliable checkpoint, so
     it is stable if executors are lost and stages re-run.
     """
+    values = None
+    if strategy in ("auto", "literal"):
+        # One bounded job: never more than LITERAL_MAX_TERMS + 1 rows move.
+        probe = [r[0] for r in terms.select(term_column).limit(LITERAL_MAX_TERMS + 1).collect()]
+        small = (len(probe) <= LITERAL_MAX_TERMS
+                 and sum(len(t.encode()) for t in probe if t is not None) <= LITERAL_MAX_BYTES)
+        if small:
+            values, strategy = sorted(t for t in probe if t is not None), "literal"
+        elif strategy == "literal":
+            raise ValueError("vocabulary too large to inline")
     if strategy == "auto":
         n_terms, n_bytes = vocab_size(terms, term_column)
-        if n_terms <= LITERAL_MAX_TERMS and n_bytes <= LITERAL_MAX_BYTES:
-            strategy = "literal"
-        elif n_terms <= BROADCAST_MAX_TERMS and n_bytes <= BROADCAST_MAX_BYTES:
-            strategy = "broadcast"
-        else:
-            strategy = "shuffle"
+        strategy = ("broadcast" if n_terms <= BROADCAST_MAX_TERMS and n_bytes <= BROADCAST_MAX_BYTES
+                    else "shuffle")
 
     if strategy == "literal":
-        values = sorted(r[0] for r in terms.select(term_column).collect())
         return df.withColumns({flag: has_any(tok, values) for flag, tok in token_columns.items()})
 
     rid = "__row_id"

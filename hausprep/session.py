@@ -72,13 +72,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the shared folder.
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Cut lineage by writing the frame as a Parquet table in the shared
+    checkpoint folder and reading it back.
 
     Used where a frame is read by more than one job (for example the
     deduplicated listings feed the column fingerprint, the vocabulary and
-    the final projection).  Survives executor loss, unlike a local
-    checkpoint.
+    the final projection).  Compared with ``DataFrame.checkpoint`` the input
+    is computed once (a reliable RDD checkpoint recomputes it to write the
+    files), and later jobs get column pruning and filter pushdown.  The
+    files live in the cluster's shared folder, so they survive executor
+    loss.
     """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
