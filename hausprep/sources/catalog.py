@@ -36,7 +36,7 @@ def list_tables(spark: SparkSession, database: str) -> DataFrame:
 
 def table_exists(spark: SparkSession, table: str, database: str | None = None) -> bool:
     """S7."""
-    return spark.catalog.tableExists(table, database) if database else spark.catalog.tableExists(table)
+    return spark.catalog.tableExists(qualified(database, table))
 
 
 def scan_table(spark: SparkSession, table: str, database: str | None = None) -> tuple[DataFrame, str]:
