@@ -149,7 +149,7 @@ def q_list_tables(spark, sf):
 
 @register("table_exists", """
 SELECT 'orders' AS name, true AS found, count(*) AS rows FROM orders
-UNION ALL SELECT 'no_such_table', false, 0""")
+UNION ALL SELECT 'no_such_table', false, CAST(0 AS BIGINT)""")
 def q_table_exists(spark, sf):
     """One present and one absent table; rows of the present one."""
     db = zone(spark, "landing")
@@ -167,7 +167,7 @@ def q_table_exists(spark, sf):
 
 @register("empty_guard", """
 SELECT 'lineitem' AS name, 'ok' AS status, count(*) AS rows FROM lineitem
-UNION ALL SELECT 'lineitem_negative_qty', 'skipped', 0""")
+UNION ALL SELECT 'lineitem_negative_qty', 'skipped', CAST(0 AS BIGINT)""")
 def q_empty_guard(spark, sf):
     """The whole table passes, an empty selection is skipped."""
     li = table(spark, sf, "lineitem")
@@ -348,7 +348,7 @@ def q_import_directory(spark, sf):
 @register("transfer_zone", """
 SELECT 'customer' AS item, 'customer' AS table_name, 'transferred' AS status, count(*) AS rows,
        CAST(NULL AS VARCHAR) AS message FROM customer
-UNION ALL SELECT 'customer_none', 'customer_none', 'skipped', 0, 'empty table'
+UNION ALL SELECT 'customer_none', 'customer_none', 'skipped', CAST(0 AS BIGINT), 'empty table'
 UNION ALL SELECT 'orders_text', 'orders_text', 'transferred', count(*), NULL FROM orders""")
 def q_transfer_zone(spark, sf):
     """P5: every table of a landing zone -> formatted zone; the empty
@@ -364,3 +364,22 @@ def q_transfer_zone(spark, sf):
     types = dict(spark.table(f"{dst}.orders_text").dtypes)
     assert types["o_orderkey"] == "bigint" and types["o_totalprice"] == "double", types
     return report
+
+
+@register("order_by_name", """
+SELECT row_number() OVER (ORDER BY name) AS position, name, rows FROM (
+""" + " UNION ALL ".join(f"SELECT '{t}' AS name, count(*) AS rows FROM {t}" for t in reversed(ZONE_TABLES)) + ")")
+def q_order_by_name(spark, sf):
+    """K3: table names of a zone in name order (the position is part of
+    the result, so the order itself is checked)."""
+    db = zone(spark, "landing")
+    for t in reversed(ZONE_TABLES):
+        table(spark, sf, t).write.saveAsTable(f"{db}.{t}")
+    names = list_tables(spark, db).collect()
+    parts = [spark.table(f"{db}.{r['name']}").agg(F.count(F.lit(1)).alias("rows"))
+             .select(F.lit(i + 1).cast("bigint").alias("position"), F.lit(r["name"]).alias("name"), "rows")
+             for i, r in enumerate(names)]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

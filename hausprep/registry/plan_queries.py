@@ -29,10 +29,10 @@ def _r6(name):
 WITH p1 AS ({cleaned_listing_sql(final_filter=True)}),
 b AS (SELECT quantile_cont(price, 0.25) AS q1, quantile_cont(price, 0.75) AS q3 FROM p1),
 f AS (SELECT q1, q3, q1 - 1.5 * (q3 - q1) AS lower, q3 + 1.5 * (q3 - q1) AS upper FROM b)
-SELECT {', '.join(f'count_if({c} IS NULL) AS nulls_{c}' for c in CRITICAL)},
+SELECT {', '.join(f'CAST(count_if({c} IS NULL) AS BIGINT) AS nulls_{c}' for c in CRITICAL)},
        round(any_value(f.q1), 6) AS q1, round(any_value(f.q3), 6) AS q3,
        round(any_value(f.lower), 6) AS lower, round(any_value(f.upper), 6) AS upper,
-       count_if(price < f.lower OR price > f.upper) AS outliers,
+       CAST(count_if(price < f.lower OR price > f.upper) AS BIGINT) AS outliers,
        ({' OR '.join(f'count_if({c} IS NULL) > 0' for c in CRITICAL)}
         OR count_if(price < f.lower OR price > f.upper) > 0) AS warning
 FROM p1, f""")
@@ -69,7 +69,7 @@ def _profile_sql():
         dtype = "bigint" if c == "listing_id" else "string"
         parts.append(f"""
 SELECT {i} AS ordinal, '{c}' AS column_name, '{dtype}' AS data_type, count({c}) AS non_null,
-       count_if({c} IS NULL) AS nulls,
+       CAST(count_if({c} IS NULL) AS BIGINT) AS nulls,
        CAST(count(DISTINCT {c}) + max(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS n_distinct,
        (SELECT CAST({c} AS VARCHAR) FROM listings WHERE {c} IS NOT NULL GROUP BY {c}
         ORDER BY count(*) DESC, CAST({c} AS VARCHAR) LIMIT 1) AS top,

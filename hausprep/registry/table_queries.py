@@ -88,10 +88,10 @@ def q_select_columns(spark, sf):
 
 
 @register("predicates", f"""{W}
-SELECT count_if(garage IS NULL) AS garage_missing,
-       count_if(features IS NOT NULL) AS features_present,
-       count_if(address_region IN ('R1', 'R2')) AS region_r1_r2,
-       count_if(garage IS NULL OR address_region IN ('R1', 'R2')) AS either
+SELECT CAST(count_if(garage IS NULL) AS BIGINT) AS garage_missing,
+       CAST(count_if(features IS NOT NULL) AS BIGINT) AS features_present,
+       CAST(count_if(address_region IN ('R1', 'R2')) AS BIGINT) AS region_r1_r2,
+       CAST(count_if(garage IS NULL OR address_region IN ('R1', 'R2')) AS BIGINT) AS either
 FROM listings""")
 def q_predicates(spark, sf):
     v = listing_view(spark, sf)
@@ -206,7 +206,7 @@ def q_n_distinct(spark, sf):
 
 
 @register("null_counts", f"{W} " + " UNION ALL ".join(
-    f"SELECT '{c}' AS column_name, count_if({c} IS NULL) AS nulls FROM listings" for c in LISTING_COLUMN_NAMES))
+    f"SELECT '{c}' AS column_name, CAST(count_if({c} IS NULL) AS BIGINT) AS nulls FROM listings" for c in LISTING_COLUMN_NAMES))
 def q_null_counts(spark, sf):
     return P.null_counts(listing_view(spark, sf))
 

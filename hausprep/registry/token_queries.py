@@ -92,7 +92,7 @@ FROM documents""")
 def q_strip(spark, sf):
     d = table(spark, sf, "documents")
     s = T.py_strip("text")
-    return d.select("doc_id", F.length(s).alias("stripped_chars"), F.md5(s).alias("stripped_md5"))
+    return d.select("doc_id", F.length(s).cast("bigint").alias("stripped_chars"), F.md5(s).alias("stripped_md5"))
 
 
 # ---- T6 - T10 on part names and the listing view ------------------------------------------
