@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hausprep.operators.common import qcol
+from hausprep.session import materialize
 
 
 def _num_ranges(df: DataFrame, num_ranges: int | None) -> int:
@@ -62,6 +63,11 @@ def quantile_frame(
     in_range = Window.partitionBy("rng", "column_name").orderBy("v").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     local = ranged.withColumn("run", F.sum("cnt").over(in_range))
+    # ``local`` feeds two branches (running counts, range offsets).  Both must
+    # see the same range boundaries: with exchange reuse (the default) they
+    # read one shuffle output; without it the ranged rows are materialised.
+    if df.sparkSession.conf.get("spark.sql.exchange.reuse", "true").lower() != "true":
+        local = materialize(local, "quantile_ranges")
 
     # One row per (column, range): the range total, then the offset of each
     # range within its column (a window over #ranges rows per column).

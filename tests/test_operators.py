@@ -115,6 +115,18 @@ def test_exact_quantiles_match_numpy_with_hot_value(spark):
         assert got[f"q{int(round(p * 100))}"] == pytest.approx(float(np.percentile(clean, p * 100)), abs=1e-9)
 
 
+def test_exact_quantiles_without_exchange_reuse(spark):
+    vals = [float(v % 97) for v in range(2000)] + [5.0] * 1000
+    df = spark.createDataFrame([(v,) for v in vals], "v double")
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        got = quantile_frame(df, ["v"], [0.25, 0.5, 0.75], num_ranges=5).first()
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", "true")
+    for p in (0.25, 0.5, 0.75):
+        assert got[f"q{int(p * 100)}"] == pytest.approx(float(np.percentile(vals, p * 100)))
+
+
 def test_quantiles_of_empty_column(spark):
     df = spark.createDataFrame([(None,), (None,)], "v double")
     row = P.quantiles(df, "v", [0.5], names=["m"]).first()
