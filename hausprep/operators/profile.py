@@ -106,15 +106,17 @@ def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
     return _unpivot_one_row(df.agg(*aggs), cols, ["nulls"])
 
 
-def schema_info(df: DataFrame) -> DataFrame:
-    """``(ordinal, column_name, non_null, data_type)`` per column."""
+def schema_info(df: DataFrame, *, with_rows: bool = False) -> DataFrame:
+    """``(ordinal, column_name, non_null, data_type)`` per column, from
+    one aggregate (``with_rows`` adds the table's row count)."""
     cols = df.columns
     aggs = [F.count_if(~_missing(df, c)).alias(f"non_null{i}") for i, c in enumerate(cols)]
-    one = df.agg(*aggs)
+    one = df.agg(F.count(F.lit(1)).alias("__rows"), *aggs)
+    extra = [F.col("__rows").alias("rows")] if with_rows else []
     return one.select(F.explode(F.array(*[
         F.struct(F.lit(i).alias("ordinal"), F.lit(c).alias("column_name"),
                  F.col(f"non_null{i}").alias("non_null"),
-                 F.lit(df.schema[c].dataType.simpleString()).alias("data_type"))
+                 F.lit(df.schema[c].dataType.simpleString()).alias("data_type"), *extra)
         for i, c in enumerate(cols)
     ])).alias("s")).select("s.*")
 
@@ -137,11 +139,23 @@ def describe_numeric(df: DataFrame, columns: Sequence[str], *, num_ranges: int |
         "column_name", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
+def _as_text(df: DataFrame, name: str) -> Column:
+    """A column's values as text for grouping across columns; -0.0 and 0.0
+    (equal numbers) get one spelling, NaN is missing."""
+    c = qcol(name)
+    if isinstance(df.schema[name].dataType, (T.FloatType, T.DoubleType)):
+        c = F.when(F.isnan(c), F.lit(None)).when(c == 0, F.lit(0.0)).otherwise(c)
+    return c.cast("string")
+
+
 def describe_categorical(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Count, number of distinct values, most frequent value (ties: the
-    smallest) and its frequency, per column, missing values excluded."""
+    smallest) and its frequency, per column, missing values excluded.
+
+    One unpivot and two partial aggregates: no group is ever gathered, a
+    value filling a third of the rows is a single counter."""
     stacked = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), qcol(c).cast("string").alias("value"))
+        F.struct(F.lit(c).alias("column_name"), _as_text(df, c).alias("value"))
         for c in columns])).alias("s")).select("s.*").where(F.col("value").isNotNull())
     freq = stacked.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("freq"))
     return freq.groupBy("column_name").agg(

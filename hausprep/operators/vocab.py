@@ -105,15 +105,20 @@ def flag_membership(
         return df.withColumns({flag: has_any(tok, values) for flag, tok in token_columns.items()})
 
     rid = "__row_id"
-    keyed = materialize(df.withColumn(rid, F.monotonically_increasing_id()))
+    keyed = materialize(df.withColumn(rid, F.monotonically_increasing_id()), "membership_keyed")
     vocab_side = terms.select(F.col(term_column).alias("__term")).distinct()
     if strategy == "broadcast":
         vocab_side = F.broadcast(vocab_side)
-    out = keyed
+    flags = list(token_columns)
+    # All token arrays in one exploded frame tagged with their flag, one
+    # semi-join, one aggregate per row id, and a single join back.
+    exploded = None
     for flag, tok in token_columns.items():
-        hits = (keyed.select(F.col(rid), F.explode(F.array_distinct(tok)).alias("__term"))
-                .join(vocab_side, "__term", "left_semi")
-                .select(rid).distinct()
-                .withColumn(flag, F.lit(True)))
-        out = out.join(hits, rid, "left").withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
-    return out.drop(rid)
+        part = keyed.select(F.col(rid), F.lit(flag).alias("__flag"),
+                            F.explode(F.array_distinct(tok)).alias("__term"))
+        exploded = part if exploded is None else exploded.unionByName(part)
+    hits = (exploded.join(vocab_side, "__term", "left_semi")
+            .groupBy(rid)
+            .agg(*[F.max(F.col("__flag") == F.lit(f)).alias(f) for f in flags]))
+    out = keyed.join(hits, rid, "left")
+    return out.withColumns({f: F.coalesce(F.col(f), F.lit(False)) for f in flags}).drop(rid)

@@ -13,8 +13,6 @@ from hausprep.operators.filters import drop_incomplete
 from hausprep.operators.profile import (
     describe_categorical,
     iqr_fences,
-    n_distinct,
-    null_counts,
     schema_info,
 )
 from hausprep.operators.setops import distinct_columns, distinct_rows
@@ -75,10 +73,17 @@ def stage_metrics(frames, cols: ListingColumns = ListingColumns(),
 
 def profile_table(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """One row per column - type, non-null and missing counts, distinct
-    values (missing counted once), most frequent value and its count."""
+    values (missing counted once), most frequent value and its count.
+
+    Two passes: one aggregate for the counts of every column, and the
+    grouped ``(column, value)`` counts of A8, which also give the number of
+    distinct values (so no per-column ``count(DISTINCT)`` expansion)."""
     cols = list(columns) if columns is not None else df.columns
-    info = schema_info(df.select(*[qcol(c) for c in cols]))
-    return (info.join(null_counts(df, cols), "column_name")
-            .join(n_distinct(df, cols), "column_name")
-            .join(describe_categorical(df, cols).select("column_name", "top", "freq"), "column_name", "left")
-            .select("ordinal", "column_name", "data_type", "non_null", "nulls", "n_distinct", "top", "freq"))
+    info = schema_info(df.select(*[qcol(c) for c in cols]), with_rows=True)   # pass 1
+    cat = describe_categorical(df, cols)                                       # pass 2
+    nulls = (F.col("rows") - F.col("non_null")).alias("nulls")
+    return (info.join(cat.select("column_name", "unique", "top", "freq"), "column_name", "left")
+            .select("ordinal", "column_name", "data_type", "non_null", nulls,
+                    (F.coalesce(F.col("unique"), F.lit(0))
+                     + F.when(F.col("rows") > F.col("non_null"), 1).otherwise(0)).cast("bigint").alias("n_distinct"),
+                    "top", "freq"))

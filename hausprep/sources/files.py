@@ -67,10 +67,16 @@ def scan_regions(
     pattern: str = "data_{code}.csv",
     strict: bool = False,
     source_column: str = "source",
+    multi_line: bool = True,
 ) -> ScanResult:
     """One CSV per region code; absent files are recorded and skipped
     (``strict=True``: an error); no file at all is always an error.  Each
-    row carries its region code in ``source_column``."""
+    row carries its region code in ``source_column``.
+
+    Region sizes may be very uneven (one region can hold a third of all
+    rows).  With ``multi_line=False`` (files without quoted line breaks)
+    every file is split into many tasks; with ``True`` a file is one task,
+    and the shuffle of the duplicate-row step rebalances afterwards."""
     frames, included, missing = [], [], []
     base = directory.rstrip("/")
     for code in codes:
@@ -80,7 +86,8 @@ def scan_regions(
                 raise FileNotFoundError(path)
             missing.append(path)
             continue
-        frames.append(read_csv_text(spark, path).withColumn(source_column, F.lit(code)))
+        frames.append(read_csv_text(spark, path, multi_line=multi_line)
+                      .withColumn(source_column, F.lit(code)))
         included.append(path)
     if not frames:
         raise FileNotFoundError(f"no region files found in {directory}")
@@ -91,7 +98,8 @@ def _csv_entries(spark: SparkSession, directory: str) -> list[tuple[str, str]]:
     return [(n, p) for n, p in fs.list_names(spark, directory) if n.lower().endswith(".csv")]
 
 
-def scan_csv_dir(spark: SparkSession, directory: str, *, source_column: str | None = "source") -> DataFrame:
+def scan_csv_dir(spark: SparkSession, directory: str, *, source_column: str | None = "source",
+                 multi_line: bool = True) -> DataFrame:
     """Every ``*.csv`` of a directory, unioned by name (each file keeps
     its own header, so column sets may differ)."""
     entries = _csv_entries(spark, directory)
@@ -99,13 +107,13 @@ def scan_csv_dir(spark: SparkSession, directory: str, *, source_column: str | No
         raise FileNotFoundError(f"no csv files in {directory}")
     frames = []
     for name, path in entries:
-        f = read_csv_text(spark, path)
+        f = read_csv_text(spark, path, multi_line=multi_line)
         frames.append(f.withColumn(source_column, F.lit(name)) if source_column else f)
     return union_by_name(frames)
 
 
 def scan_csv_excluding(spark: SparkSession, directory: str, marker: str = CLEANED_FILE_MARKER, *,
-                       source_column: str | None = "source") -> ScanResult:
+                       source_column: str | None = "source", multi_line: bool = True) -> ScanResult:
     """S3: like S2 but skipping files whose name contains ``marker``
     (case-insensitive).  An empty selection is not an error."""
     included, excluded, frames = [], [], []
@@ -114,7 +122,7 @@ def scan_csv_excluding(spark: SparkSession, directory: str, marker: str = CLEANE
             excluded.append(name)
             continue
         included.append(name)
-        f = read_csv_text(spark, path)
+        f = read_csv_text(spark, path, multi_line=multi_line)
         frames.append(f.withColumn(source_column, F.lit(name)) if source_column else f)
     return ScanResult(union_by_name(frames) if frames else None, included=included, excluded=excluded)
 
