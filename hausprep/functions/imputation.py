@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from hausprep.functions.tokens import has_any, replace_literal, tokens_match, yes_no
+from hausprep.operators.schema import as_double
 
 
 def _col(c: Column | str) -> Column:
@@ -32,7 +33,7 @@ def correct_value(c: Column | str, bad: float, good) -> Column:
     """Replace a known-bad numeric value.  Text cells are compared by
     their numeric value; cells that are not numbers are left alone."""
     col = _col(c)
-    return F.when(col.try_cast("double") == F.lit(float(bad)), F.lit(good)).otherwise(col)
+    return F.when(as_double(col) == F.lit(float(bad)), F.lit(good)).otherwise(col)
 
 
 def presence_flag(c: Column | str, absent_values: Sequence[str]) -> Column:

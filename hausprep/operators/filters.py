@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hausprep.operators.common import qcol
+from hausprep.operators.schema import as_double
 
 
 def drop_incomplete(df: DataFrame, subset: Sequence[str]) -> DataFrame:
@@ -71,7 +72,7 @@ def to_double(c: Column, *, strip: str | None = None, mode: str = "strict", labe
     """Text -> double.  ``strict`` raises on a malformed value whatever the
     session's ANSI setting; ``null`` turns it into a missing value."""
     src = F.replace(c, F.lit(strip), F.lit("")) if strip else c
-    parsed = src.try_cast("double")
+    parsed = as_double(src)
     if mode == "null":
         return parsed
     if mode != "strict":
@@ -104,7 +105,7 @@ def quarantine_rows(df: DataFrame, columns: Sequence[str], *, strip_commas: Iter
     bad = F.lit(False)
     for c in columns:
         src = F.replace(qcol(c), F.lit(","), F.lit("")) if c in commas else qcol(c)
-        bad = bad | (src.isNotNull() & src.try_cast("double").isNull())
+        bad = bad | (src.isNotNull() & as_double(src).isNull())
     return df.filter(bad)
 
 

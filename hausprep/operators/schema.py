@@ -57,14 +57,29 @@ def nan_to_null(df: DataFrame) -> DataFrame:
 
 
 _BOOL_SPELLINGS = ["true", "false"]
+# Shapes of integer and decimal text.  The cast is only attempted on text of
+# that shape: a failing cast costs an exception per value, and the shape
+# test also rejects spellings a CSV reader would not call numbers (``1.5d``).
+_INT_SHAPE = r"^\s*[+-]?[0-9]+\s*$"
+_FLOAT_SHAPE = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$|^\s*[+-]?(?i:inf|infinity)\s*$"
+
+
+def as_bigint(c: Column) -> Column:
+    """Text -> bigint when the text is an integer in range, else null."""
+    return F.when(c.rlike(_INT_SHAPE), c.try_cast("bigint"))
+
+
+def as_double(c: Column) -> Column:
+    """Text -> double when the text is a decimal number, else null."""
+    return F.when(c.rlike(_FLOAT_SHAPE), c.try_cast("double"))
 
 
 def _type_probes(c: Column, i: int) -> list[Column]:
     present = c.isNotNull()
     return [
         F.count(c).alias(f"p{i}"),
-        F.count_if(present & c.try_cast("bigint").isNull()).alias(f"ni{i}"),
-        F.count_if(present & c.try_cast("double").isNull()).alias(f"nd{i}"),
+        F.count_if(present & as_bigint(c).isNull()).alias(f"ni{i}"),
+        F.count_if(present & as_double(c).isNull()).alias(f"nd{i}"),
         F.count_if(present & ~F.lower(c).isin(_BOOL_SPELLINGS)).alias(f"nb{i}"),
         F.count_if(present & c.try_cast("date").isNull()
                    & c.try_cast("timestamp").isNull()).alias(f"nt{i}"),
@@ -127,6 +142,10 @@ def apply_types(df: DataFrame, types: dict[str, str], *, strict: bool = True) ->
             cast = F.when(F.lower(c) == "true", F.lit(True)).when(F.lower(c) == "false", F.lit(False))
         elif type_name == "date":
             cast = F.coalesce(c.try_cast("date"), F.to_date(c.try_cast("timestamp")))
+        elif type_name == "bigint":
+            cast = as_bigint(c)
+        elif type_name == "double":
+            cast = as_double(c)
         else:
             cast = c.try_cast(type_name)
         if strict:
