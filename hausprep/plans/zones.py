@@ -2,13 +2,15 @@
 -> typed catalog tables (P4), and every table of one zone -> another (P5).
 
 The driver loops over *names* (files, tables) only; every table is its own
-distributed read -> write job.  A failing item does not stop the others:
-the result is a report frame ``(item, table_name, status, rows, message)``.
+distributed read -> write job, several run concurrently.  A failing item
+does not stop the others: the result is a report frame
+``(item, table_name, status, rows, message)``.
 """
 
 from __future__ import annotations
 
 import re
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,36 +57,54 @@ def load_typed(df: DataFrame, table: str, database: str) -> int:
     return append_load(typed, table, database)
 
 
+def _run_isolated(items: list, work, parallelism: int) -> list[tuple]:
+    """Run ``work(item) -> report row`` for every item; a failure becomes a
+    ``failed`` row.  Up to ``parallelism`` items run at once: each is its own
+    Spark job, and concurrent jobs keep a large cluster busy when single
+    tables are small.  Report rows keep the input order."""
+
+    def guarded(item):
+        try:
+            return work(item)
+        except Exception as e:  # noqa: BLE001 - isolate failures per item
+            name, table = item
+            return (name, table, "failed", None, f"{type(e).__name__}: {str(e)[:500]}")
+
+    if parallelism <= 1 or len(items) <= 1:
+        return [guarded(i) for i in items]
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        return list(pool.map(guarded, items))
+
+
 def import_directory(spark: SparkSession, directory: str, database: str,
-                     marker: str = CLEANED_FILE_MARKER) -> DataFrame:
+                     marker: str = CLEANED_FILE_MARKER, *, parallelism: int = 4) -> DataFrame:
     """Every CSV of a directory (except files named with ``marker``)
     into a typed table of ``database``; one report row per file."""
     scan = scan_csv_excluding(spark, directory, marker, source_column=None)
     base = directory.rstrip("/")
     rows = [(name, None, "excluded", None, f"name contains {marker}") for name in scan.excluded]
-    for name in scan.included:
-        table = table_name_for(name)
-        try:
-            n = load_typed(read_csv_text(spark, f"{base}/{name}"), table, database)
-            rows.append((name, table, "loaded", n, None))
-        except Exception as e:  # noqa: BLE001 - isolate failures per file
-            rows.append((name, table, "failed", None, f"{type(e).__name__}: {str(e)[:500]}"))
+
+    def load(item):
+        name, table = item
+        n = load_typed(read_csv_text(spark, f"{base}/{name}"), table, database)
+        return (name, table, "loaded", n, None)
+
+    rows += _run_isolated([(n, table_name_for(n)) for n in scan.included], load, parallelism)
     return _report(spark, rows)
 
 
-def transfer_zone(spark: SparkSession, source_db: str, target_db: str) -> DataFrame:
+def transfer_zone(spark: SparkSession, source_db: str, target_db: str, *,
+                  parallelism: int = 4) -> DataFrame:
     """P5: every table of ``source_db`` -> typed table of ``target_db``;
     empty tables are skipped, failures reported."""
-    rows = []
-    for (table,) in list_tables(spark, source_db).collect():
-        try:
-            src = spark.table(qualified(source_db, table))
-            frame, status = empty_guard(src, policy="skip", name=table)
-            if frame is None:
-                rows.append((table, table, "skipped", 0, "empty table"))
-                continue
-            n = load_typed(frame, table, target_db)
-            rows.append((table, table, "transferred", n, None))
-        except Exception as e:  # noqa: BLE001 - isolate failures per table
-            rows.append((table, table, "failed", None, f"{type(e).__name__}: {str(e)[:500]}"))
-    return _report(spark, rows)
+
+    def move(item):
+        table, _ = item
+        src = spark.table(qualified(source_db, table))
+        frame, _status = empty_guard(src, policy="skip", name=table)
+        if frame is None:
+            return (table, table, "skipped", 0, "empty table")
+        return (table, table, "transferred", load_typed(frame, table, target_db), None)
+
+    tables = [r[0] for r in list_tables(spark, source_db).collect()]
+    return _report(spark, _run_isolated([(t, t) for t in tables], move, parallelism))
