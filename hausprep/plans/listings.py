@@ -38,6 +38,7 @@ from hausprep.functions.tokens import (
     concat_columns,
     has_any,
     keyword_flag,
+    token_key,
     tokens_match,
     yes_no,
 )
@@ -138,6 +139,7 @@ def dedupe_stage(raw: DataFrame, cols: ListingColumns, *, checkpoint: bool = Tru
 # ---- stage 3 ---------------------------------------------------------------------
 
 _TOK = "__tok_"
+_KEY = "__key_"
 
 
 def clean_stage(df: DataFrame, cols: ListingColumns, out: ListingOutput, *,
@@ -154,8 +156,10 @@ def clean_stage(df: DataFrame, cols: ListingColumns, out: ListingOutput, *,
                                qcol(c.fireplace), qcol(c.garage), qcol(c.heating), qcol(c.parking)])
     tok = {k: F.col(f"{_TOK}{k}") for k in list_cols}
     tok["combined"] = F.col(f"{_TOK}combined")
+    key = {k: F.col(f"{_KEY}{k}") for k in tok}
     staged = df.withColumns({f"{_TOK}{k}": tokens_match(qcol(v)) for k, v in list_cols.items()}
                             | {f"{_TOK}combined": tokens_match(combined)})
+    staged = staged.withColumns({f"{_KEY}{k}": token_key(t) for k, t in tok.items()})
 
     # V2: the garage vocabulary is derived from the deduplicated rows.
     terms = garage_vocab(df, [c.features, c.parking], V.GARAGE_KEYWORDS, V.GARAGE_EXCLUDED_TERM)
@@ -168,20 +172,20 @@ def clean_stage(df: DataFrame, cols: ListingColumns, out: ListingOutput, *,
         "__baths": correct_value(qcol(c.baths), V.BATHS_BAD_VALUE, V.BATHS_FIXED_VALUE),
         "__garage": garage_fill(qcol(c.garage), qcol(c.features), qcol(c.parking),
                                 F.col("__hit_gf"), F.col("__hit_gp")),
-        "__parking": yes_no(has_any(tok["parking"], V.PARKING_TERMS)
-                            | has_any(tok["features"], V.PARKING_TERMS)),
-        "__basement": classify_first(None, V.BASEMENT, tokens=tok["basement"]),
-        "__exterior": classify_first(None, V.EXTERIOR, tokens=tok["exterior"]),
+        "__parking": yes_no(has_any(tok["parking"], V.PARKING_TERMS, key=key["parking"])
+                            | has_any(tok["features"], V.PARKING_TERMS, key=key["features"])),
+        "__basement": classify_first(None, V.BASEMENT, tokens=tok["basement"], key=key["basement"]),
+        "__exterior": classify_first(None, V.EXTERIOR, tokens=tok["exterior"], key=key["exterior"]),
         "__fireplace": presence_flag(qcol(c.fireplace), V.FIREPLACE_ABSENT),
-        "__heating": classify_first(None, V.HEATING, tokens=tok["heating"]),
-        "__flooring": classify_first(None, V.FLOORING, tokens=tok["flooring"]),
-        "__roof": classify_first(None, V.ROOF, tokens=tok["roof"]),
+        "__heating": classify_first(None, V.HEATING, tokens=tok["heating"], key=key["heating"]),
+        "__flooring": classify_first(None, V.FLOORING, tokens=tok["flooring"], key=key["flooring"]),
+        "__roof": classify_first(None, V.ROOF, tokens=tok["roof"], key=key["roof"]),
         "__waterfront": fill_constant(qcol(c.waterfront), "No"),
-        "__sewer": fill_constant(classify_first(None, V.SEWER, tokens=tok["sewer"]), "none"),
-        "__pool": keyword_flag(None, V.POOL_TERMS, tokens=tok["combined"]),
-        "__garden": keyword_flag(None, V.GARDEN_TERMS, tokens=tok["combined"]),
-        "__view": classify_first(None, V.view_vocabulary(), tokens=tok["combined"]),
-        "__balcony": keyword_flag(None, V.BALCONY_TERMS, tokens=tok["combined"]),
+        "__sewer": fill_constant(classify_first(None, V.SEWER, tokens=tok["sewer"], key=key["sewer"]), "none"),
+        "__pool": keyword_flag(None, V.POOL_TERMS, tokens=tok["combined"], key=key["combined"]),
+        "__garden": keyword_flag(None, V.GARDEN_TERMS, tokens=tok["combined"], key=key["combined"]),
+        "__view": classify_first(None, V.view_vocabulary(), tokens=tok["combined"], key=key["combined"]),
+        "__balcony": keyword_flag(None, V.BALCONY_TERMS, tokens=tok["combined"], key=key["combined"]),
     }
     return staged.withColumns(derived)
 
