@@ -83,8 +83,9 @@ def flag_membership(
       A hot token cannot overload one task: AQE splits skewed partitions
       of the exploded side.
 
-    The row key of the join strategies comes from a reliable checkpoint, so
-    it is stable if executors are lost and stages re-run.
+    The row key of the join strategies is written into a materialised table
+    in the shared checkpoint folder, so it is stable if executors are lost
+    and stages re-run.
     """
     values = None
     if strategy in ("auto", "literal"):

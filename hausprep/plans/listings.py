@@ -4,17 +4,20 @@ from the package's operators.
 Stages:
 
 1. load     - textual NA markers -> null (C1), union by name (U1);
-2. dedupe   - duplicate rows (U2), reliable checkpoint, duplicate columns
-              (U3), rows missing an address or price dropped (F1);
+2. dedupe   - duplicate rows (U2), written once as a Parquet table in the
+              shared checkpoint folder, duplicate columns (U3), rows
+              missing an address or price dropped (F1);
 3. clean    - one projection deriving every cleaned column from token
-              arrays computed once per source column (I1-I7, T4-T9), with
-              the data-derived garage vocabulary (V2) applied by
-              :func:`flag_membership`;
+              arrays (and their joined keys) computed once per source
+              column (I1-I7, T4-T9), with the data-derived garage
+              vocabulary (V2) applied by :func:`flag_membership`;
 4. finalize - drop consumed columns (F4), rename (F5), cast (F6);
 5. filter   - sizes/beds/baths present, size > 120, price >= 50000 (F1, F2).
 
 Only the dedupe stage shuffles (U2); the U3 fingerprint and the V2
-vocabulary are aggregates over the checkpointed deduplicated rows.
+vocabulary are aggregates over the materialised deduplicated rows, and the
+final projection is one scan of them with the required-field filters
+pushed into it.
 """
 
 from __future__ import annotations
@@ -127,7 +130,7 @@ def load_stage(frames: Sequence[DataFrame] | DataFrame) -> DataFrame:
 
 
 def dedupe_stage(raw: DataFrame, cols: ListingColumns, *, checkpoint: bool = True) -> DataFrame:
-    """U2 -> checkpoint -> U3 (listing columns protected) -> F1."""
+    """U2 -> materialise -> U3 (listing columns protected) -> F1."""
     deduped = distinct_rows(raw)
     if checkpoint:
         deduped = materialize(deduped)
@@ -146,8 +149,9 @@ def clean_stage(df: DataFrame, cols: ListingColumns, out: ListingOutput, *,
                 vocab_strategy: str = "auto") -> DataFrame:
     """Derive every cleaned column in one projection.
 
-    Token arrays are materialised once per list column (``__tok_*``) and
-    reused by every classifier reading that column."""
+    Token arrays (``__tok_*``) and their joined keys (``__key_*``) are
+    computed once per list column and reused by every classifier reading
+    that column."""
     c = cols
     list_cols = {"features": c.features, "parking": c.parking, "basement": c.basement,
                  "exterior": c.exterior, "heating": c.heating, "flooring": c.flooring,
