@@ -196,9 +196,13 @@ def clean_stage(df: DataFrame, cols: ListingColumns, out: ListingOutput, *,
 
 # ---- stage 4 / 5 -------------------------------------------------------------------
 
-def finalize_stage(df: DataFrame, cols: ListingColumns, out: ListingOutput) -> DataFrame:
+def finalize_stage(df: DataFrame, cols: ListingColumns, out: ListingOutput, *,
+                   cast_mode: str = "strict") -> DataFrame:
     """F4 + F5 + F6: keep pass-through columns (renamed) and derived ones,
-    cast the seven numeric columns to double (strict)."""
+    cast the seven numeric columns to double.  ``cast_mode="strict"``
+    fails the job on a malformed number (as the original run does);
+    ``"null"`` turns it into a missing value, after which the consistency
+    filter drops the row (find such rows with ``quarantine_rows``)."""
     c = cols
     consumed = [c.street_address, c.features, c.garage, c.parking, c.basement, c.exterior,
                 c.fireplace, c.heating, c.flooring, c.roof, c.waterfront, c.sewer, c.sqft,
@@ -231,7 +235,7 @@ def finalize_stage(df: DataFrame, cols: ListingColumns, out: ListingOutput) -> D
     shaped = df.select(*passthrough, *[F.col(s).alias(d) for s, d in derived])
     numeric = [out.latitude if c.latitude else None, out.longitude if c.longitude else None,
                out.price, out.bedrooms, out.bathrooms, out.acreage, out.square_footage]
-    return cast_numeric(shaped, [n for n in numeric if n], strip_commas=[out.square_footage])
+    return cast_numeric(shaped, [n for n in numeric if n], strip_commas=[out.square_footage], mode=cast_mode)
 
 
 def consistency_stage(df: DataFrame, out: ListingOutput) -> DataFrame:
@@ -252,6 +256,7 @@ def clean_listings(
     finalize_only: bool = False,
     vocab_strategy: str = "auto",
     checkpoint: bool = True,
+    cast_mode: str = "strict",
 ) -> DataFrame:
     """Raw regional listing frames (all text) -> clean listing table.
 
@@ -260,7 +265,7 @@ def clean_listings(
     raw = load_stage(frames)
     deduped = dedupe_stage(raw, cols, checkpoint=checkpoint)
     cleaned = clean_stage(deduped, cols, out, vocab_strategy=vocab_strategy)
-    final = finalize_stage(cleaned, cols, out)
+    final = finalize_stage(cleaned, cols, out, cast_mode=cast_mode)
     return final if finalize_only else consistency_stage(final, out)
 
 

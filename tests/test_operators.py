@@ -164,3 +164,19 @@ def test_infer_types_rules(spark):
                    "update_note": "string", "empty": "double", "gappy": "double"}
     typed = SC.apply_types(df, got)
     assert dict(typed.dtypes)["sold_date"] == "date" and typed.first().b is True
+
+
+def test_listing_cast_modes(spark):
+    from hausprep.plans.listings import clean_listings
+    from hausprep.registry.fixtures import VIEW_COLUMNS, VIEW_OUTPUT, listing_view
+    from conftest import SF_SMALL
+    v = listing_view(spark, SF_SMALL)
+    bad = v.withColumn("beds", F.when(F.col("listing_id") == F.lit(1), F.lit("three")).otherwise(F.col("beds")))
+    with pytest.raises(Exception):
+        clean_listings(bad, VIEW_COLUMNS, VIEW_OUTPUT).count()
+    lenient = clean_listings(bad, VIEW_COLUMNS, VIEW_OUTPUT, cast_mode="null")
+    strict_ok = clean_listings(v, VIEW_COLUMNS, VIEW_OUTPUT)
+    bad_rows = bad.where(F.col("listing_id") == 1).count()
+    assert lenient.count() <= strict_ok.count() and lenient.where("listing_id = 1").count() == 0
+    assert bad_rows >= 1
+    assert FL.quarantine_rows(bad, ["beds"]).count() == bad_rows
