@@ -91,10 +91,15 @@ def head(df: DataFrame, n: int, order_by: Sequence[str] | None = None) -> DataFr
 
 # ---- A5 / A6 / A9 -------------------------------------------------------------
 
-def n_distinct(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def n_distinct(df: DataFrame, columns: Sequence[str], *, approx: bool = False,
+               rsd: float = 0.01) -> DataFrame:
     """A5: distinct values per column, a missing value counting as one
-    value; rows ``(column_name, n_distinct)``."""
-    aggs = [(F.count_distinct(qcol(c)) + F.max(F.when(_missing(df, c), 1).otherwise(0)))
+    value; rows ``(column_name, n_distinct)``.  ``approx=True`` uses
+    HyperLogLog++ (``approx_count_distinct``, relative error ``rsd``):
+    constant memory per column and no per-column expansion of the rows."""
+    def distinct(c):
+        return F.approx_count_distinct(qcol(c), rsd) if approx else F.count_distinct(qcol(c))
+    aggs = [(distinct(c) + F.max(F.when(_missing(df, c), 1).otherwise(0)))
             .cast("bigint").alias(f"n_distinct{i}") for i, c in enumerate(columns)]
     return _unpivot_one_row(df.agg(*aggs), columns, ["n_distinct"])
 

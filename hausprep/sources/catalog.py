@@ -59,7 +59,8 @@ def scan_jdbc(
 ) -> DataFrame:
     """Read a database table.  With a numeric ``partition_column`` and
     bounds the read is split into ``num_partitions`` parallel range
-    queries; filters on the result are pushed into the database's SQL."""
+    queries; filters on the result are pushed into the database's SQL.
+    Use :func:`scan_jdbc_or_empty` when a missing table is not an error."""
     if partition_column:
         return spark.read.jdbc(url, table, column=partition_column, lowerBound=lower_bound,
                                upperBound=upper_bound, numPartitions=num_partitions,
@@ -67,6 +68,17 @@ def scan_jdbc(
     return spark.read.jdbc(url, table, properties=dict(properties))
 
 
+def scan_jdbc_or_empty(spark: SparkSession, url: str, table: str, properties: Mapping[str, str],
+                       **kw) -> tuple[DataFrame, str]:
+    """S5 with the original's policy: a table that cannot be read (missing)
+    gives an empty frame and a message instead of an error.  The schema is
+    resolved when the reader is created, so the check costs no data read."""
+    try:
+        return scan_jdbc(spark, url, table, properties, **kw), "ok"
+    except Exception as e:  # noqa: BLE001 - the driver's message varies per database
+        return spark.createDataFrame([], T.StructType([])), f"table {table} not readable: {str(e)[:300]}"
+
+
 def create_if_not_exists(spark: SparkSession, table: str, schema: T.StructType, database: str | None = None,
                          *, fmt: str = "parquet") -> bool:
     """C4: create an empty table with ``schema`` unless it exists.

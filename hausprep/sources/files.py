@@ -79,9 +79,10 @@ def scan_regions(
     and the shuffle of the duplicate-row step rebalances afterwards."""
     frames, included, missing = [], [], []
     base = directory.rstrip("/")
+    present = {name for name, _ in fs.list_names(spark, directory)} if fs.exists(spark, directory) else set()
     for code in codes:
         path = f"{base}/{pattern.format(code=code)}"
-        if not fs.exists(spark, path):
+        if pattern.format(code=code) not in present:   # the folder is listed once
             if strict:
                 raise FileNotFoundError(path)
             missing.append(path)

@@ -143,6 +143,7 @@ def test_value_counts_sum_to_non_null(spark):
 def test_n_distinct_counts_missing_once(spark):
     df = spark.createDataFrame([("a",), (None,), ("a",), (None,), ("b",)], "s string")
     assert P.n_distinct(df, ["s"]).first().n_distinct == 3
+    assert P.n_distinct(df, ["s"], approx=True).first().n_distinct == 3
 
 
 def test_iqr_outliers(spark):
