@@ -129,9 +129,13 @@ def load_stage(frames: Sequence[DataFrame] | DataFrame) -> DataFrame:
     return union_by_name([na_tokens(f) for f in frames])
 
 
-def dedupe_stage(raw: DataFrame, cols: ListingColumns, *, checkpoint: bool = True) -> DataFrame:
-    """U2 -> materialise -> U3 (listing columns protected) -> F1."""
-    deduped = distinct_rows(raw)
+def dedupe_stage(raw: DataFrame, cols: ListingColumns, *, checkpoint: bool = True,
+                 canonical_numeric: Sequence[str] = ()) -> DataFrame:
+    """U2 -> materialise -> U3 (listing columns protected) -> F1.
+
+    ``canonical_numeric`` names text columns whose numeric spelling must not
+    matter for duplicate detection (``3`` and ``3.0`` from two files)."""
+    deduped = distinct_rows(raw, canonical_numeric=[c for c in canonical_numeric if c in raw.columns])
     if checkpoint:
         deduped = materialize(deduped)
     present = [c for c in cols.roles().values() if c in deduped.columns]
@@ -257,13 +261,14 @@ def clean_listings(
     vocab_strategy: str = "auto",
     checkpoint: bool = True,
     cast_mode: str = "strict",
+    canonical_numeric: Sequence[str] = (),
 ) -> DataFrame:
     """Raw regional listing frames (all text) -> clean listing table.
 
     With ``finalize_only=True`` (P2) the result stops before the final
     consistency filter and keeps the view column."""
     raw = load_stage(frames)
-    deduped = dedupe_stage(raw, cols, checkpoint=checkpoint)
+    deduped = dedupe_stage(raw, cols, checkpoint=checkpoint, canonical_numeric=canonical_numeric)
     cleaned = clean_stage(deduped, cols, out, vocab_strategy=vocab_strategy)
     final = finalize_stage(cleaned, cols, out, cast_mode=cast_mode)
     return final if finalize_only else consistency_stage(final, out)

@@ -181,3 +181,9 @@ def test_listing_cast_modes(spark):
     assert lenient.count() <= strict_ok.count() and lenient.where("listing_id = 1").count() == 0
     assert bad_rows >= 1
     assert FL.quarantine_rows(bad, ["beds"]).count() == bad_rows
+
+
+def test_distinct_rows_numeric_spelling(spark):
+    df = spark.createDataFrame([("3", "a"), ("3.0", "a"), ("x", "a"), ("x", "a")], "n string, s string")
+    assert S.distinct_rows(df).count() == 3
+    assert S.distinct_rows(df, canonical_numeric=["n"]).count() == 2
