@@ -56,7 +56,20 @@ def _canonical(c: str, dt: T.DataType) -> Column:
     return col
 
 
-def duplicate_columns(df: DataFrame, protect: Iterable[str] = ()) -> list[str]:
+def fingerprint_exprs(df: DataFrame) -> list[Column]:
+    """Pass 1 of U3 as aggregate expressions (``h<i>``, ``n<i>`` per column).
+    They can also ride along another job, e.g. ``DataFrame.observe`` on the
+    write that materialises the frame, so pass 1 costs no scan of its own."""
+    fields = list(df.schema.fields)
+    row_hash = F.xxhash64(*[qcol(f.name) for f in fields])
+    aggs = []
+    for i, f in enumerate(fields):
+        aggs.append(F.bit_xor(F.xxhash64(row_hash, _canonical(f.name, f.dataType))).alias(f"h{i}"))
+        aggs.append(F.count_if(qcol(f.name).isNull()).alias(f"n{i}"))
+    return aggs
+
+
+def duplicate_columns(df: DataFrame, protect: Iterable[str] = (), *, fingerprints=None) -> list[str]:
     """Names of the columns U3 removes, in column order.
 
     A column is a duplicate when it equals an earlier column on every row
@@ -74,12 +87,7 @@ def duplicate_columns(df: DataFrame, protect: Iterable[str] = ()) -> list[str]:
     if len(fields) < 2:
         return []
     protected = set(protect)
-    row_hash = F.xxhash64(*[qcol(f.name) for f in fields])
-    aggs = []
-    for i, f in enumerate(fields):
-        aggs.append(F.bit_xor(F.xxhash64(row_hash, _canonical(f.name, f.dataType))).alias(f"h{i}"))
-        aggs.append(F.count_if(qcol(f.name).isNull()).alias(f"n{i}"))
-    prints = df.agg(*aggs).first()
+    prints = fingerprints if fingerprints is not None else df.agg(*fingerprint_exprs(df)).first()
 
     groups: dict[tuple, list[int]] = {}
     for i, f in enumerate(fields):
@@ -108,9 +116,10 @@ def duplicate_columns(df: DataFrame, protect: Iterable[str] = ()) -> list[str]:
     return dropped
 
 
-def distinct_columns(df: DataFrame, protect: Iterable[str] = ()) -> DataFrame:
-    """Drop columns that duplicate an earlier column on every row."""
-    dropped = set(duplicate_columns(df, protect))
+def distinct_columns(df: DataFrame, protect: Iterable[str] = (), *, fingerprints=None) -> DataFrame:
+    """Drop columns that duplicate an earlier column on every row.
+    ``fingerprints``: the row of :func:`fingerprint_exprs` if already known."""
+    dropped = set(duplicate_columns(df, protect, fingerprints=fingerprints))
     return df.select(*[qcol(c) for c in df.columns if c not in dropped])
 
 

@@ -48,9 +48,9 @@ from hausprep.functions.tokens import (
 from hausprep.operators.common import qcol
 from hausprep.operators.filters import cast_numeric, drop_columns, drop_incomplete, range_filter
 from hausprep.operators.schema import na_tokens
-from hausprep.operators.setops import distinct_columns, distinct_rows, union_by_name
+from hausprep.operators.setops import distinct_columns, distinct_rows, fingerprint_exprs, union_by_name
 from hausprep.operators.vocab import flag_membership, garage_vocab
-from hausprep.session import materialize
+from hausprep.session import materialize_observed
 
 
 @dataclass(frozen=True)
@@ -136,10 +136,13 @@ def dedupe_stage(raw: DataFrame, cols: ListingColumns, *, checkpoint: bool = Tru
     ``canonical_numeric`` names text columns whose numeric spelling must not
     matter for duplicate detection (``3`` and ``3.0`` from two files)."""
     deduped = distinct_rows(raw, canonical_numeric=[c for c in canonical_numeric if c in raw.columns])
+    prints = None
     if checkpoint:
-        deduped = materialize(deduped)
+        # U3's fingerprint pass rides along the write that materialises U2.
+        deduped, metrics = materialize_observed(deduped, fingerprint_exprs(deduped), "dedup")
+        prints = metrics
     present = [c for c in cols.roles().values() if c in deduped.columns]
-    deduped = distinct_columns(deduped, protect=present)
+    deduped = distinct_columns(deduped, protect=present, fingerprints=prints)
     return drop_incomplete(deduped, cols.required_for_address())
 
 

@@ -72,6 +72,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def materialize_observed(df: DataFrame, metrics: list, name: str = "stage"):
+    """:func:`materialize` that also computes aggregate ``metrics`` while
+    writing (``DataFrame.observe``): no extra pass over the data.  Returns
+    ``(frame, metrics row)``.  Observed metrics merge each partition's
+    successful attempt once, so retries do not double-count."""
+    from pyspark.sql import Observation
+
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    obs = Observation(f"{name}_metrics")
+    df.observe(obs, *metrics).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path), obs.get
+
+
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """Cut lineage by writing the frame as a Parquet table in the shared
     checkpoint folder and reading it back.

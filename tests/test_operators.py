@@ -187,3 +187,13 @@ def test_distinct_rows_numeric_spelling(spark):
     df = spark.createDataFrame([("3", "a"), ("3.0", "a"), ("x", "a"), ("x", "a")], "n string, s string")
     assert S.distinct_rows(df).count() == 3
     assert S.distinct_rows(df, canonical_numeric=["n"]).count() == 2
+
+
+def test_fingerprints_observed_during_write_equal_aggregate(spark):
+    from hausprep.session import materialize_observed
+    rows = [(i % 5, float(i % 5), f"s{i % 3}", None) for i in range(500)]
+    df = spark.createDataFrame(rows, "a int, b double, c string, d string").repartition(7)
+    back, observed = materialize_observed(df, S.fingerprint_exprs(df), "fp_test")
+    direct = df.agg(*S.fingerprint_exprs(df)).first()
+    assert dict(observed) == direct.asDict()
+    assert S.duplicate_columns(back, fingerprints=observed) == ["b"]
