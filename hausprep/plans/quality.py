@@ -15,7 +15,7 @@ from hausprep.operators.profile import (
     iqr_fences,
     schema_info,
 )
-from hausprep.operators.setops import distinct_columns, distinct_rows
+from hausprep.operators.setops import distinct_columns, fingerprint_exprs
 from hausprep.plans.listings import (
     ListingColumns,
     ListingOutput,
@@ -24,7 +24,7 @@ from hausprep.plans.listings import (
     finalize_stage,
     load_stage,
 )
-from hausprep.session import materialize
+from hausprep.session import materialize_observed
 
 
 def quality_report(df: DataFrame, critical: Sequence[str], value: str, *, factor: float = 1.5) -> DataFrame:
@@ -50,18 +50,34 @@ def stage_metrics(frames, cols: ListingColumns = ListingColumns(),
                   out: ListingOutput = ListingOutput(), *, source_column: str | None = None) -> DataFrame:
     """Rows at each stage of the listing cleaner - raw (and per source
     when a source column exists), after duplicate removal, after dropping
-    rows without address/price, final.  Frame ``(stage, rows)``."""
+    rows without address/price, final.  Frame ``(stage, rows)``.
+
+    The duplicate-row aggregate also counts the copies of each distinct
+    row; their sum (raw rows), the number of distinct rows and U3's
+    fingerprints are observed during the one job that writes the
+    deduplicated rows.  That job is a result stage, so the observed values
+    are exact even when tasks are retried, and the raw input is read once.
+    The later counts scan the materialised table."""
     raw = load_stage(frames)
-    deduped = materialize(distinct_rows(raw))
+    copies = "__copies"
+    dedup = raw.groupBy(*[qcol(c) for c in raw.columns]).agg(F.count(F.lit(1)).alias(copies))
+    keys = dedup.drop(copies)
+    written, metrics = materialize_observed(
+        dedup, [*fingerprint_exprs(keys), F.sum(copies).alias("__raw_rows"),
+                F.count(F.lit(1)).alias("__dedup_rows")], "stage_metrics")
+    deduped = written.drop(copies)
     present = [c for c in cols.roles().values() if c in deduped.columns]
-    complete = drop_incomplete(distinct_columns(deduped, protect=present), cols.required_for_address())
+    complete = drop_incomplete(distinct_columns(deduped, protect=present, fingerprints=metrics),
+                               cols.required_for_address())
     final = consistency_stage(finalize_stage(clean_stage(complete, cols, out), cols, out), out)
 
     def count(stage: str, df: DataFrame) -> DataFrame:
         return df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(stage).alias("stage"), "rows")
 
-    parts = [count("raw", raw), count("after_dedup", deduped), count("after_dropna", complete),
-             count("final", final)]
+    observed = deduped.sparkSession.createDataFrame(
+        [("raw", int(metrics["__raw_rows"] or 0)), ("after_dedup", int(metrics["__dedup_rows"]))],
+        "stage string, rows bigint")
+    parts = [observed, count("after_dropna", complete), count("final", final)]
     if source_column and source_column in raw.columns:
         parts.append(raw.groupBy(qcol(source_column)).agg(F.count(F.lit(1)).alias("rows"))
                      .select(F.concat(F.lit("raw:"), qcol(source_column)).alias("stage"), "rows"))
