@@ -69,6 +69,7 @@ def flag_membership(
     *,
     term_column: str = "term",
     strategy: str = "auto",
+    salt_buckets: int = 32,
 ) -> DataFrame:
     """Add one boolean column per entry of ``token_columns``: does any token
     of that array occur in the vocabulary ``terms``?
@@ -79,9 +80,11 @@ def flag_membership(
       set, no join at all;
     * ``broadcast`` - up to 2M terms / 64 MiB: tokens are exploded with a
       row key and semi-joined against the broadcast vocabulary;
-    * ``shuffle`` - anything larger: the same semi-join as a shuffle join.
-      A hot token cannot overload one task: AQE splits skewed partitions
-      of the exploded side.
+    * ``shuffle`` - anything larger: the same semi-join as a shuffle join,
+      salted: each exploded token gets a salt derived from its row id and
+      the vocabulary is replicated once per salt (``salt_buckets`` copies,
+      no cross join), so a token carried by a third of all rows is spread
+      over ``salt_buckets`` tasks whether or not AQE splits skew.
 
     The row key of the join strategies is written into a materialised table
     in the shared checkpoint folder, so it is stable if executors are lost
@@ -118,7 +121,14 @@ def flag_membership(
         part = keyed.select(F.col(rid), F.lit(flag).alias("__flag"),
                             F.explode(F.array_distinct(tok)).alias("__term"))
         exploded = part if exploded is None else exploded.unionByName(part)
-    hits = (exploded.join(vocab_side, "__term", "left_semi")
+    keys = ["__term"]
+    if strategy == "shuffle" and salt_buckets > 1:
+        exploded = exploded.withColumn("__salt", F.pmod(F.xxhash64(F.col(rid)), F.lit(salt_buckets)))
+        vocab_side = vocab_side.select(
+            "__term", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1)).cast("array<bigint>"))
+            .alias("__salt"))
+        keys = ["__term", "__salt"]
+    hits = (exploded.join(vocab_side, keys, "left_semi")
             .groupBy(rid)
             .agg(*[F.max(F.col("__flag") == F.lit(f)).alias(f) for f in flags]))
     out = keyed.join(hits, rid, "left")
