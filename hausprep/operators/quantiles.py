@@ -84,12 +84,15 @@ def quantile_frame(
               .withColumn("lo_rank", F.col("hi_rank") - F.col("cnt")))     # first rank of v
 
     aggs = [F.first("n").alias("n")]
+    any_cover = F.lit(False)
     for i, p in enumerate(probs):
         h = (F.col("n") - 1).cast("double") * F.lit(p)
         for tag, rank in (("a", F.floor(h)), ("b", F.ceil(h))):
             covers = (F.col("lo_rank") <= rank) & (rank < F.col("hi_rank"))
+            any_cover = any_cover | covers
             aggs.append(F.max(F.when(covers, F.col("v"))).alias(f"{tag}{i}"))
-    picked = ranked.groupBy("column_name").agg(*aggs)
+    # At most two rows per probability and column survive the filter.
+    picked = ranked.where(any_cover).groupBy("column_name").agg(*aggs)
 
     outs = [F.col("column_name")]
     for i, (p, name) in enumerate(zip(probs, names)):
