@@ -48,6 +48,9 @@ def main() -> None:
     repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     names = [n for n in os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",") if n]
 
+    from pyspark.sql import Observation
+    from pyspark.sql import functions as F
+
     from hausprep.registry import queries
     from hausprep.session import build_session
 
@@ -62,19 +65,20 @@ def main() -> None:
     # Warm the JVM once (code generation, JIT, Parquet footers) on the flagship.
     qs["clean_listings"](spark, sf_dir).write.format("noop").mode("overwrite").save()
     for name in names:
-        def run() -> None:
+        def run() -> int:
+            obs = Observation(f"rows_{name}")
             df = qs[name](spark, sf_dir)
-            df.write.format("noop").mode("overwrite").save()
+            df.observe(obs, F.count(F.lit(1)).alias("n")).write.format("noop").mode("overwrite").save()
+            return int(obs.get["n"])
 
         times = []
         for i in range(repeat):
             sc.setJobGroup(f"bench::{name}::{i}", name)
             t0 = time.perf_counter()
-            run()
+            rows[name] = run()      # output rows, counted during the run itself
             times.append(time.perf_counter() - t0)
         sc.setJobGroup("bench::other", "other")
         results[name] = round(statistics.median(times), 3)
-        rows[name] = qs[name](spark, sf_dir).count()
     m = re.search(r"sf([0-9.]+)", sf_dir)
     app_id = sc.applicationId
     spark.stop()
