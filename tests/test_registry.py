@@ -11,10 +11,11 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import SF_SMALL
+from hausprep import registry
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()
-NAMES = sorted(entry.queries())
+NAMES = sorted(registry.queries())
 
 
 @pytest.fixture(scope="module")
@@ -38,7 +39,7 @@ def _digest(cols, rows):
 
 
 def test_every_query_has_an_oracle():
-    missing = set(entry.queries()) - set(entry.oracle_sql())
+    missing = set(registry.queries()) - set(entry.oracle_sql())
     assert not missing, missing
 
 
