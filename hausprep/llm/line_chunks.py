@@ -30,7 +30,7 @@ def _line_hash(line: Column) -> Column:
 
 
 def _is_long(line: Column) -> Column:
-    return F.char_length(line) - F.char_length(F.translate(line, " ", "")) >= LONG_WORDS - 1
+    return F.octet_length(line) - F.octet_length(F.replace(line, F.lit(" "), F.lit(""))) >= LONG_WORDS - 1
 
 
 def _adjacent(values: Column, n: Column, f) -> Column:
@@ -38,26 +38,30 @@ def _adjacent(values: Column, n: Column, f) -> Column:
     return F.zip_with(F.slice(values, 1, n - 1), F.slice(values, 2, n - 1), f)
 
 
-def _chunk_ends(lines: Column) -> Column:
-    """Line numbers (exclusive) at which chunks end, without the text's own end."""
-    n = F.size(lines)
-    rolling = _adjacent(F.transform(lines, _line_hash), n, lambda a, b: (a * _FACTOR + b) % _PRIME)
+def _with_ends(rows: DataFrame) -> DataFrame:
+    """Adds ``ends``: the line numbers (exclusive) at which chunks end, without the text's own end.
+
+    What is read more than once is a column of its own in a step before, so that it is computed once."""
+    n = F.size("lines")
+    given = rows.columns
+    rows = rows.select(*given, F.transform("lines", _line_hash).alias("hashes"), F.transform("lines", _is_long).alias("long"))
+    rows = rows.select(*given, "long", _adjacent(F.col("hashes"), n, lambda a, b: (a * _FACTOR + b) % _PRIME).alias("rolling"))
     inner = F.greatest(n - 3, F.lit(0))
-    falls = F.zip_with(F.slice(rolling, 1, inner), F.slice(rolling, 2, inner), lambda a, b: F.when(b < a, b))
-    minima = F.zip_with(falls, F.slice(rolling, 3, inner), lambda b, c: F.coalesce(b <= c, F.lit(False)))
+    falls = F.zip_with(F.slice("rolling", 1, inner), F.slice("rolling", 2, inner), lambda a, b: F.when(b < a, b))
+    minima = F.zip_with(falls, F.slice("rolling", 3, inner), lambda b, c: F.coalesce(b <= c, F.lit(False)))
     # Before the third line no minimum can be told.
     minima = F.concat(F.array(F.lit(False), F.lit(False)), minima)
-    beside_long = _adjacent(F.transform(lines, _is_long), n, lambda a, b: a | b)
+    beside_long = _adjacent(F.col("long"), n, lambda a, b: a | b)
     ends = F.zip_with(minima, beside_long, lambda a, b: F.coalesce(a, F.lit(False)) | F.coalesce(b, F.lit(False)))
     numbered = F.transform(ends, lambda end, i: F.when(end, i + 1))
-    return F.filter(numbered, lambda e: e < n)
+    return rows.select(*given, F.filter(numbered, lambda e: e < n).alias("ends"))
 
 
 def _occurrences(docs: DataFrame) -> DataFrame:
     """One row per chunk that may be removed: ``id, text_hash, first, last`` (lines), ``digest, piece``."""
     rows = docs.where(F.col("id").isNotNull() & F.col("text").isNotNull()) \
         .select("id", F.xxhash64("text").alias("text_hash"), F.split("text", "\n", -1).alias("lines"))
-    rows = rows.select("id", "text_hash", "lines", _chunk_ends(F.col("lines")).alias("ends"))
+    rows = _with_ends(rows)
     n = F.size("lines")
     spans = F.zip_with(F.concat(F.array(F.lit(0)), "ends"), F.concat("ends", F.array(n)), lambda a, b: F.struct(
         a.alias("first"), b.alias("last"), F.slice("lines", a + 1, b - a).alias("own")))
@@ -65,7 +69,7 @@ def _occurrences(docs: DataFrame) -> DataFrame:
     solid = F.size(F.filter("own", lambda x: F.length(F.trim(x)) > 0))
     rows = rows.where((solid >= 2) | ((F.size("own") == 1) & _is_long(F.element_at("own", 1))))
     piece = F.array_join("own", "\n")
-    return rows.select("id", "text_hash", "first", "last", F.unhex(F.md5(piece)).alias("digest"), piece.alias("piece"))
+    return rows.select("id", "text_hash", "first", "last", F.coalesce(F.md5(piece), F.lit("")).alias("digest"), piece.alias("piece"))
 
 
 def _place(row: DataFrame) -> Column:
