@@ -30,7 +30,7 @@ from hausprep.llm.common import in_pieces, pick, record
 TIERS = (256, 512, 1024, 2048)
 STEP_TOKENS = 32 * 2048        # tokens of a step group
 BLOCK_TOKENS = 1 << 19         # pending tokens that a task packs together
-MAX_RUNS = 500_000             # runs between white space whose ids a worker keeps
+MAX_RUNS, MAX_WORDS = 400_000, 200_000     # runs between white space, and words, whose ids a worker keeps
 
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
           "sequence_id long, offset long, tier long, step_group long")
@@ -39,7 +39,7 @@ _SCHEMA = pa.schema([(c.split()[0], pa.int64()) for c in PIECES.split(", ")])
 #: White space to Python's ``split`` but not to the tokenizer.
 _NO_SPACE = "\x1c\x1d\x1e\x1f"
 #: Runs of only these characters are split into words here, by the tokenizer's own pattern.
-_PLAIN = re.compile("[!-~À-ÖØ-öø-įı-ɏ]+").fullmatch
+_PLAIN = re.compile("[!-;=-~À-ÖØ-öø-įı-ɏ]+").fullmatch       # without "<", which begins special tokens
 _WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+").findall
 
 
@@ -50,6 +50,17 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(other)}
 
 
+class _Words(dict):
+    """Ids by word; made when first asked for."""
+
+    def __init__(self, make):
+        self.make = make
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self[word] = self.make(word)
+        return ids
+
+
 class WordIds:
     """Token ids of texts, as little-endian unsigned 32-bit bytes.
 
@@ -64,10 +75,11 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model, self.letters = self.tokenizer.model, _byte_letters()
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.runs: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
-        self.plain = all(self._library([t]) == [self._words(t)] for t in _TRIAL)
+        self.words = _Words(self._word)
+        self.ids = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
+        specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.plain = all(t.startswith("<") for t in specials) and all(self._library([t]) == [self._words(t)] for t in _TRIAL)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         odd = {i for i, t in enumerate(texts) if any(c in t for c in _NO_SPACE)}
@@ -76,11 +88,12 @@ class WordIds:
         new = set().union(*split) - known.keys()
         if len(known) + len(new) > MAX_RUNS:
             known.clear()
-            self.words.clear()
             new = set().union(*split)
+        if len(self.words) > MAX_WORDS:
+            self.words.clear()
         strange = []
         for run in new:
-            if self.plain and _PLAIN(run) and not any(x in run for x in self.special):
+            if self.plain and _PLAIN(run):
                 known[run] = self._words(run)
             else:
                 strange.append(run)
@@ -92,14 +105,11 @@ class WordIds:
 
     def _words(self, run: str) -> bytes:
         found = _WORDS(run.lower())
-        return self._word(found[0]) if len(found) == 1 else b"".join(map(self._word, found))
+        return self.words[found[0]] if len(found) == 1 else b"".join([self.words[w] for w in found])
 
     def _word(self, word: str) -> bytes:
-        ids = self.words.get(word)
-        if ids is None:
-            letters = word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
-            ids = self.words[word] = b"".join(t.id.to_bytes(4, "little") for t in self.model.tokenize(letters))
-        return ids
+        letters = word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
+        return b"".join([self.ids[t.id] for t in self.model.tokenize(letters)])
 
     def _library(self, texts: list[str]) -> list[bytes]:
         return [b"".join(i.to_bytes(4, "little") for i in e.ids)
