@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from hausprep.llm.common import in_pieces, pick, record
 
-MAX_WORDS = 300_000      # words whose weights a worker keeps
+MAX_WORDS = 250_000      # words whose weights a worker keeps
 
 
 def hashed(feature: bytes, buckets: int) -> int:

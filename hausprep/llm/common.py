@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Characters handled at once inside a task; bounds the numpy temporaries.
-PIECE_CHARS = 1 << 20
+PIECE_CHARS = 1 << 19
 
 #: Words of lower-cased text: runs of digits, a-z and non-ASCII characters.
 WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")

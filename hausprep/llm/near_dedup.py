@@ -55,7 +55,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 class _WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 400_000:
+        if len(self) > 200_000:
             self.clear()
         h = self[word] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
         return h
@@ -322,7 +322,8 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS,
     members = banded.join(shared, "key").join(nodes.select("id", "sample"), "id")
     candidates = connected_components(candidate_links(in_blocks(members, "key", "n", block), LEAST_AGREEMENT))
     candidates = candidates.join(candidates.groupBy("root").agg(F.count(F.lit(1)).alias("n")), "root")
-    members = named.where(F.col("text").isNotNull()).join(candidates, "id")
+    # Joined by sorting at every size: whether the few columns of the candidates can be broadcast depends on the corpus.
+    members = named.where(F.col("text").isNotNull()).join(candidates.hint("merge"), "id")
     # Rows of one id may hold a text that is a mere copy; it is compared like any other.
     links = verified_links(in_blocks(members, "root", "n", block), idf, similarity)
     found = connected_components(links).withColumnsRenamed({"id": "copy_of", "root": "class_id"})
@@ -340,7 +341,7 @@ def dedup(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     found = classes(docs, similarity)
     extra = found.where("doc_id <> class_id").select(
         F.col("doc_id").alias("near_id__"), F.col("text_hash").alias("near_hash__")).distinct()
-    kept = docs.join(extra, (docs["doc_id"].cast("long") == F.col("near_id__"))
+    kept = docs.join(extra.hint("merge"), (docs["doc_id"].cast("long") == F.col("near_id__"))
                      & (F.xxhash64(docs["text"]) == F.col("near_hash__")), "left_anti")
     again = found.where("doc_id = class_id").groupBy("doc_id").count().where("count > 1")
     if again.isEmpty():

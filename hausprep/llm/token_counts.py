@@ -39,7 +39,7 @@ START, WORD, DIGITS, MARKS, ONE_SPACE, ONE_BLANK, MANY_SPACE, MANY_BLANK, QUOTED
 N_STATES = 12
 HERE, BACK = 1, 2      # boundary before this character, before the previous one
 CHUNK = 256
-MAX_WORDS = 300_000    # pre-tokens whose count a worker keeps
+MAX_WORDS = 250_000    # pre-tokens whose count a worker keeps
 MAX_STATES = 200_000   # merger states a worker keeps; further words are walked without keeping theirs
 
 
