@@ -2,8 +2,7 @@
 of semi-structured listing data.
 
 The most used entry points are re-exported here; everything else lives in
-``functions``, ``operators``, ``sources``, ``sinks``, ``plans`` and
-``streaming``.
+``functions``, ``operators``, ``sources``, ``sinks`` and ``plans``.
 """
 
 __version__ = "0.1.0"

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from hausprep.functions.tokens import has_any, replace_literal, tokens_match, yes_no
+from hausprep.functions.tokens import has_any, replace_literal, token_key, tokens_match, yes_no
 from hausprep.operators.schema import as_double
 
 
@@ -59,7 +59,8 @@ def garage_fill(
 def parking_fill(parking: Column | str, features: Column | str, terms: Sequence[str]) -> Column:
     """``Yes`` when the parking cell, or failing that the features cell,
     names any parking term."""
-    return yes_no(has_any(tokens_match(parking), terms) | has_any(tokens_match(features), terms))
+    cells = [tokens_match(parking), tokens_match(features)]
+    return yes_no(has_any(cells[0], terms, key=token_key(cells[0])) | has_any(cells[1], terms, key=token_key(cells[1])))
 
 
 def remap_values(c: Column | str, mapping: Mapping[str, str]) -> Column:

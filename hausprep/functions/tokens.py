@@ -94,14 +94,15 @@ def token_key(tokens: Column) -> Column:
 def has_any(tokens: Column, terms: Sequence[str], *, key: Column | None = None) -> Column:
     """True when any token equals a term; False for a missing array.
 
-    Fixed term lists (up to 64 terms) are tested as byte searches for
-    ``,term,`` in :func:`token_key` - measured about 4x cheaper per row than
-    ``arrays_overlap``, which builds a hash set for every call.  Longer,
-    data-derived lists use a hashed ``IN`` set per token instead."""
+    ``key`` is the :func:`token_key` of tokens that hold no ``,`` (those of
+    T3 and T4).  With it, up to 64 terms are tested as byte searches for
+    ``,term,``, about 4x cheaper per row than ``arrays_overlap``, which
+    builds a hash set for every call.  Without it, and for longer lists, every
+    token is looked up in a hashed ``IN`` set.  All give the same answer."""
     if not terms:
         return F.lit(False)
-    if len(terms) <= 64:
-        k = key if key is not None else token_key(tokens)
+    if key is not None and len(terms) <= 64:
+        k = key
         hit = F.lit(False)
         for t in terms:
             if "," in t:          # can never be a single token
@@ -121,8 +122,10 @@ def keyword_flag(c: Column | str, terms: Sequence[str], *, tokens: Column | None
                  key: Column | None = None) -> Column:
     """``Yes`` when any match token of the cell is one of ``terms``,
     otherwise ``No`` (a missing cell is ``No``)."""
-    tok = tokens if tokens is not None else tokens_match(c)
-    return yes_no(has_any(tok, terms, key=key))
+    if tokens is None:
+        tokens = tokens_match(c)
+        key = token_key(tokens)
+    return yes_no(has_any(tokens, terms, key=key))
 
 
 def classify_first(
@@ -130,10 +133,11 @@ def classify_first(
     key: Column | None = None,
 ) -> Column:
     """The first label (in vocabulary order) with any hit; else missing."""
-    tok = tokens if tokens is not None else tokens_match(c)
-    k = key if key is not None else token_key(tok)
+    if tokens is None:
+        tokens = tokens_match(c)
+        key = token_key(tokens)
     return F.coalesce(
-        *[F.when(has_any(tok, terms, key=k), F.lit(label)) for label, terms in vocabulary],
+        *[F.when(has_any(tokens, terms, key=key), F.lit(label)) for label, terms in vocabulary],
         F.lit(None).cast("string"),
     )
 
@@ -142,8 +146,7 @@ def first_match_term(
     c: Column | str, terms: Sequence[str], *, tokens: Column | None = None, key: Column | None = None
 ) -> Column:
     """The first term (in list order) that occurs among the tokens."""
-    tok = tokens if tokens is not None else tokens_match(c)
-    return classify_first(c, [(t, [t]) for t in terms], tokens=tok, key=key)
+    return classify_first(c, [(t, [t]) for t in terms], tokens=tokens, key=key)
 
 
 # ---- T9 / T10 ---------------------------------------------------------------

@@ -80,8 +80,8 @@ def duplicate_columns(df: DataFrame, protect: Iterable[str] = (), *, fingerprint
     Pass 1 is a single aggregate: per column an order-insensitive
     fingerprint ``bit_xor(xxhash64(row_hash, value))`` plus its null count.
     Equal columns always get equal fingerprints, so only columns sharing a
-    fingerprint need pass 2, an exact ``bool_and(a <=> b)`` per candidate
-    pair.  Only one row of per-column numbers reaches the driver.
+    fingerprint need pass 2, an exact ``bool_and(a <=> b)`` of each with
+    one of them.  Only one row of per-column numbers reaches the driver.
     """
     fields = list(df.schema.fields)
     if len(fields) < 2:
@@ -93,25 +93,27 @@ def duplicate_columns(df: DataFrame, protect: Iterable[str] = (), *, fingerprint
     for i, f in enumerate(fields):
         key = (_family(f.dataType), prints[f"h{i}"], prints[f"n{i}"])
         groups.setdefault(key, []).append(i)
-    pairs = [(a, b) for members in groups.values() if len(members) > 1
-             for k, a in enumerate(members) for b in members[k + 1:]]
-    if not pairs:
-        return []
-
-    checks = []
-    for a, b in pairs:
-        ca, cb = fields[a], fields[b]
-        left, right = _canonical(ca.name, ca.dataType), _canonical(cb.name, cb.dataType)
-        checks.append(F.bool_and(F.coalesce(left.eqNullSafe(right), F.lit(False))).alias(f"e{a}_{b}"))
-    verdict = df.agg(*checks).first()
-    equal = {(a, b) for a, b in pairs if verdict[f"e{a}_{b}"] in (True, None)}
+    # Equality is transitive: members are held against one of them, and those that differ form a new group.
+    open_groups = [m for m in groups.values() if len(m) > 1]
+    equal: dict[int, list[int]] = {}
+    while open_groups:
+        checks = []
+        for first, *rest in open_groups:
+            left = _canonical(fields[first].name, fields[first].dataType)
+            for b in rest:
+                right = _canonical(fields[b].name, fields[b].dataType)
+                checks.append(F.bool_and(F.coalesce(left.eqNullSafe(right), F.lit(False))).alias(f"e{b}"))
+        verdict = df.agg(*checks).first()
+        left_over = []
+        for first, *rest in open_groups:
+            same = [first, *(b for b in rest if verdict[f"e{b}"] in (True, None))]
+            equal |= {i: same for i in same}
+            left_over.append([b for b in rest if b not in same])
+        open_groups = [m for m in left_over if len(m) > 1]
 
     dropped: list[str] = []
     for j, f in enumerate(fields):
-        if f.name in protected:
-            continue
-        partners = [i for (i, k) in equal if k == j] + [k for (i, k) in equal if i == j]
-        if any(i < j or fields[i].name in protected for i in partners):
+        if f.name not in protected and any(i < j or (i != j and fields[i].name in protected) for i in equal.get(j, ())):
             dropped.append(f.name)
     return dropped
 

@@ -70,11 +70,14 @@ def flag_membership(
     term_column: str = "term",
     strategy: str = "auto",
     salt_buckets: int = 32,
+    keys: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """Add one boolean column per entry of ``token_columns``: does any token
     of that array occur in the vocabulary ``terms``?
 
-    The vocabulary is data-derived, so its size is measured first:
+    ``keys``: the ``token_key`` of token arrays that hold no ``,`` (T3, T4).
+    The vocabulary is data-derived, so its size is measured first; the size
+    only chooses how the same answer is reached:
 
     * ``literal`` - small (<= 10k terms, <= 1 MiB): inlined as a constant
       set, no join at all;
@@ -106,7 +109,7 @@ def flag_membership(
                     else "shuffle")
 
     if strategy == "literal":
-        return df.withColumns({flag: has_any(tok, values) for flag, tok in token_columns.items()})
+        return df.withColumns({flag: has_any(tok, values, key=(keys or {}).get(flag)) for flag, tok in token_columns.items()})
 
     rid = "__row_id"
     keyed = materialize(df.withColumn(rid, F.monotonically_increasing_id()), "membership_keyed")

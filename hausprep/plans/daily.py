@@ -35,11 +35,12 @@ def daily_run(
     out: ListingOutput = ListingOutput(),
     date: _dt.date | None = None,
     prefix: str = "cleaned_canada",
+    multi_line: bool = True,
 ) -> dict:
     """Run the daily job; return a report with the output path, missing
     region files, rows per region, final rows, null counts and the quality
     report (all small values)."""
-    scan = scan_regions(spark, landing_dir, codes)
+    scan = scan_regions(spark, landing_dir, codes, multi_line=multi_line)
     raw_rows = {r["source"]: r["rows"] for r in rows_per_source(scan.frame, "source").collect()}
     raw = scan.frame.drop("source")
     cleaned = materialize(clean_listings(raw, cols, out), "daily_clean")

@@ -141,7 +141,7 @@ def dedupe_stage(raw: DataFrame, cols: ListingColumns, *, checkpoint: bool = Tru
         # U3's fingerprint pass rides along the write that materialises U2.
         deduped, metrics = materialize_observed(deduped, fingerprint_exprs(deduped), "dedup")
         prints = metrics
-    present = [c for c in cols.roles().values() if c in deduped.columns]
+    present = [c for c in [*cols.roles().values(), *cols.unused] if c in deduped.columns]
     deduped = distinct_columns(deduped, protect=present, fingerprints=prints)
     return drop_incomplete(deduped, cols.required_for_address())
 
@@ -150,6 +150,9 @@ def dedupe_stage(raw: DataFrame, cols: ListingColumns, *, checkpoint: bool = Tru
 
 _TOK = "__tok_"
 _KEY = "__key_"
+_HELPERS = frozenset(f"__{n}" for n in (
+    "hit_gf hit_gp sqft acreage baths garage parking basement exterior fireplace heating flooring roof "
+    "waterfront sewer pool garden view balcony").split())
 
 
 def clean_stage(df: DataFrame, cols: ListingColumns, out: ListingOutput, *,
@@ -160,6 +163,9 @@ def clean_stage(df: DataFrame, cols: ListingColumns, out: ListingOutput, *,
     computed once per list column and reused by every classifier reading
     that column."""
     c = cols
+    taken = [n for n in df.columns if n in _HELPERS or n.startswith((_TOK, _KEY))]
+    if taken:
+        raise ValueError(f"these column names are used inside the cleaner; rename them: {taken}")
     list_cols = {"features": c.features, "parking": c.parking, "basement": c.basement,
                  "exterior": c.exterior, "heating": c.heating, "flooring": c.flooring,
                  "roof": c.roof, "sewer": c.sewer}
@@ -175,7 +181,8 @@ def clean_stage(df: DataFrame, cols: ListingColumns, out: ListingOutput, *,
     # V2: the garage vocabulary is derived from the deduplicated rows.
     terms = garage_vocab(df, [c.features, c.parking], V.GARAGE_KEYWORDS, V.GARAGE_EXCLUDED_TERM)
     staged = flag_membership(staged, {"__hit_gf": tok["features"], "__hit_gp": tok["parking"]},
-                             terms, strategy=vocab_strategy)
+                             terms, strategy=vocab_strategy,
+                             keys={"__hit_gf": key["features"], "__hit_gp": key["parking"]})
 
     derived = {
         "__sqft": fill_from_column(qcol(c.sqft), qcol(c.sqft_fallback), remove=" SQFT"),
@@ -204,9 +211,10 @@ def clean_stage(df: DataFrame, cols: ListingColumns, out: ListingOutput, *,
 # ---- stage 4 / 5 -------------------------------------------------------------------
 
 def finalize_stage(df: DataFrame, cols: ListingColumns, out: ListingOutput, *,
-                   cast_mode: str = "strict") -> DataFrame:
-    """F4 + F5 + F6: keep pass-through columns (renamed) and derived ones,
-    cast the seven numeric columns to double.  ``cast_mode="strict"``
+                   raw_columns: Sequence[str], cast_mode: str = "strict") -> DataFrame:
+    """F4 + F5 + F6: keep pass-through columns (those of ``raw_columns`` that
+    nothing consumed, renamed) and derived ones, cast the seven numeric
+    columns to double.  ``cast_mode="strict"``
     fails the job on a malformed number (as the original run does);
     ``"null"`` turns it into a missing value, after which the consistency
     filter drops the row (find such rows with ``quarantine_rows``)."""
@@ -225,8 +233,8 @@ def finalize_stage(df: DataFrame, cols: ListingColumns, out: ListingOutput, *,
     replaced = {c.baths: ("__baths", out.bathrooms), c.acreage: ("__acreage", out.acreage)}
     gone = set(consumed) | set(c.unused)
     passthrough = []
-    for name in df.columns:
-        if name in gone or name.startswith("__"):
+    for name in raw_columns:
+        if name in gone:
             continue
         if name in replaced:
             src, dst = replaced[name]
@@ -273,7 +281,7 @@ def clean_listings(
     raw = load_stage(frames)
     deduped = dedupe_stage(raw, cols, checkpoint=checkpoint, canonical_numeric=canonical_numeric)
     cleaned = clean_stage(deduped, cols, out, vocab_strategy=vocab_strategy)
-    final = finalize_stage(cleaned, cols, out, cast_mode=cast_mode)
+    final = finalize_stage(cleaned, cols, out, raw_columns=deduped.columns, cast_mode=cast_mode)
     return final if finalize_only else consistency_stage(final, out)
 
 

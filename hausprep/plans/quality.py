@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from hausprep.operators.common import qcol
 from hausprep.operators.filters import drop_incomplete
 from hausprep.operators.profile import (
+    _missing,
     describe_categorical,
     iqr_fences,
     schema_info,
@@ -24,14 +25,16 @@ from hausprep.plans.listings import (
     finalize_stage,
     load_stage,
 )
-from hausprep.session import materialize_observed
+from hausprep.session import materialize, materialize_observed
 
 
 def quality_report(df: DataFrame, critical: Sequence[str], value: str, *, factor: float = 1.5) -> DataFrame:
     """One row - missing values per critical column, IQR fences of
     ``value``, the number of rows outside them, and a warning flag.
     Warnings are data, the run always continues."""
-    nulls = [F.count_if(qcol(c).isNull()).alias(f"nulls_{c}") for c in critical]
+    # Two passes read these few columns; what made them runs once.
+    df = materialize(df.select(*[qcol(c) for c in dict.fromkeys([*critical, value])]), "quality")
+    nulls = [F.count_if(_missing(df, c)).alias(f"nulls_{c}") for c in critical]
     f = iqr_fences(df, value, factor=factor)
     outside = F.lit(False) if f["lower"] is None else (
         (qcol(value) < F.lit(f["lower"])) | (qcol(value) > F.lit(f["upper"])))
@@ -69,7 +72,7 @@ def stage_metrics(frames, cols: ListingColumns = ListingColumns(),
     present = [c for c in cols.roles().values() if c in deduped.columns]
     complete = drop_incomplete(distinct_columns(deduped, protect=present, fingerprints=metrics),
                                cols.required_for_address())
-    final = consistency_stage(finalize_stage(clean_stage(complete, cols, out), cols, out), out)
+    final = consistency_stage(finalize_stage(clean_stage(complete, cols, out), cols, out, raw_columns=complete.columns), out)
 
     def count(stage: str, df: DataFrame) -> DataFrame:
         return df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(stage).alias("stage"), "rows")

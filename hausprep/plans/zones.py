@@ -10,15 +10,16 @@ does not stop the others: the result is a report frame
 from __future__ import annotations
 
 import re
+from collections import Counter
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hausprep.operators.schema import apply_types, inferred_schema, nan_to_null
+from hausprep.operators.schema import apply_types, inferred_schema, na_tokens, nan_to_null
 from hausprep.operators.setops import distinct_columns, distinct_rows
 from hausprep.sinks.files import write_parquet
 from hausprep.sources.catalog import append_load, create_if_not_exists, list_tables, qualified
-from hausprep.sources.files import empty_guard, read_csv_text, scan_csv_dir, scan_csv_excluding
+from hausprep.sources.files import csv_names, empty_guard, read_csv_text, scan_csv_dir
 from hausprep.vocabularies import CLEANED_FILE_MARKER
 
 REPORT_SCHEMA = "item string, table_name string, status string, rows bigint, message string"
@@ -35,12 +36,14 @@ def table_name_for(file_name: str) -> str:
     return re.sub(r"[^0-9a-zA-Z_]+", "_", stem).strip("_").lower() or "table"
 
 
-def dedupe_files(spark: SparkSession, source_dir: str, work_dir: str) -> DataFrame:
-    """All CSVs of a directory -> one raw Parquet table -> duplicate rows
-    and columns removed -> clean Parquet table (returned, read back)."""
+def dedupe_files(spark: SparkSession, source_dir: str, work_dir: str, *, multi_line: bool = True) -> DataFrame:
+    """All CSVs of a directory, missing-value markers made null (C1) ->
+    one raw Parquet table -> duplicate rows and columns removed -> clean
+    Parquet table (returned, read back).  ``multi_line=False`` lets large
+    files without line breaks inside cells be read by many tasks."""
     raw_path = f"{work_dir.rstrip('/')}/raw_data.parquet"
     clean_path = f"{work_dir.rstrip('/')}/cleaned_data.parquet"
-    write_parquet(scan_csv_dir(spark, source_dir, source_column=None), raw_path)
+    write_parquet(na_tokens(scan_csv_dir(spark, source_dir, source_column=None, multi_line=multi_line)), raw_path)
     raw = spark.read.parquet(raw_path)
     deduped = distinct_rows(raw)
     # The Parquet file is the checkpoint: both passes of U3 read it.
@@ -50,9 +53,16 @@ def dedupe_files(spark: SparkSession, source_dir: str, work_dir: str) -> DataFra
     return spark.read.parquet(clean_path)
 
 
-def load_typed(df: DataFrame, table: str, database: str) -> int:
-    """C3 -> C5 -> C4 -> C6 for one frame; returns rows written."""
-    typed = nan_to_null(apply_types(df, inferred_schema(df)))
+def load_typed(df: DataFrame, table: str, database: str, *, from_text: bool = True) -> int:
+    """C3 -> C5 -> C4 -> C6 for one frame; returns rows written.
+
+    ``from_text=False``: the frame has types of its own, so text stays text
+    but for the dates that C3 finds by name and value."""
+    types = inferred_schema(df)
+    if not from_text:
+        types = {c: t if t in ("date", "timestamp") or kind != "string" else "string"
+                 for (c, t), (_, kind) in zip(types.items(), df.dtypes)}
+    typed = nan_to_null(apply_types(df, types))
     create_if_not_exists(df.sparkSession, table, typed.schema, database)
     return append_load(typed, table, database)
 
@@ -77,19 +87,25 @@ def _run_isolated(items: list, work, parallelism: int) -> list[tuple]:
 
 
 def import_directory(spark: SparkSession, directory: str, database: str,
-                     marker: str = CLEANED_FILE_MARKER, *, parallelism: int = 4) -> DataFrame:
-    """Every CSV of a directory (except files named with ``marker``)
-    into a typed table of ``database``; one report row per file."""
-    scan = scan_csv_excluding(spark, directory, marker, source_column=None)
+                     marker: str = CLEANED_FILE_MARKER, *, parallelism: int = 4,
+                     multi_line: bool = True) -> DataFrame:
+    """Every CSV of a directory (except files named with ``marker``),
+    missing-value markers made null (C1), into a typed table of
+    ``database``; one report row per file.  Files whose names give the same
+    table name are not loaded but reported as failed."""
+    included, excluded = csv_names(spark, directory, marker)
     base = directory.rstrip("/")
-    rows = [(name, None, "excluded", None, f"name contains {marker}") for name in scan.excluded]
+    rows = [(name, None, "excluded", None, f"name contains {marker}") for name in excluded]
+    per_table = Counter(map(table_name_for, included))
 
     def load(item):
         name, table = item
-        n = load_typed(read_csv_text(spark, f"{base}/{name}"), table, database)
+        if per_table[table] > 1:
+            raise ValueError(f"{per_table[table]} files give the table name {table}")
+        n = load_typed(na_tokens(read_csv_text(spark, f"{base}/{name}", multi_line=multi_line)), table, database)
         return (name, table, "loaded", n, None)
 
-    rows += _run_isolated([(n, table_name_for(n)) for n in scan.included], load, parallelism)
+    rows += _run_isolated([(n, table_name_for(n)) for n in included], load, parallelism)
     return _report(spark, rows)
 
 
@@ -104,7 +120,7 @@ def transfer_zone(spark: SparkSession, source_db: str, target_db: str, *,
         frame, _status = empty_guard(src, policy="skip", name=table)
         if frame is None:
             return (table, table, "skipped", 0, "empty table")
-        return (table, table, "transferred", load_typed(frame, table, target_db), None)
+        return (table, table, "transferred", load_typed(frame, table, target_db, from_text=False), None)
 
     tables = [r[0] for r in list_tables(spark, source_db).collect()]
     return _report(spark, _run_isolated([(t, t) for t in tables], move, parallelism))

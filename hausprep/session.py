@@ -35,7 +35,7 @@ def build_session(
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.driver.memory", os.environ.get("HAUSPREP_DRIVER_MEMORY", "16g"))
+        .config("spark.driver.memory", os.environ.get("HAUSPREP_DRIVER_MEMORY", "4g"))
     )
     if shuffle_partitions is not None:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -49,9 +49,9 @@ def build_session(
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names for checkpoints.
 
-    Read from the session; only when nothing is configured (local tests)
-    a fresh temporary folder is set, so that ``DataFrame.checkpoint`` and
-    scratch tables always have a home.
+    Read from the session.  When nothing is configured, a local master
+    (tests) gets a fresh temporary folder; any other master raises, as a
+    machine-local folder would scatter the data.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -61,6 +61,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         "spark.checkpoint.dir", None
     )
     if not configured:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="hausprep-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

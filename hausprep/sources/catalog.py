@@ -7,6 +7,7 @@ its tables are regular Spark tables in the session's catalog.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -68,14 +69,23 @@ def scan_jdbc(
     return spark.read.jdbc(url, table, properties=dict(properties))
 
 
+#: How databases say that a table is not there.
+_MISSING_TABLE = re.compile(
+    r"(relation|table|object|view)\b.{0,200}(does ?n[o']t exist|not found|doesn't exist)|no such table|"
+    r"unknown table|invalid object name|ORA-00942", re.IGNORECASE | re.DOTALL)
+
+
 def scan_jdbc_or_empty(spark: SparkSession, url: str, table: str, properties: Mapping[str, str],
                        **kw) -> tuple[DataFrame, str]:
-    """S5 with the original's policy: a table that cannot be read (missing)
-    gives an empty frame and a message instead of an error.  The schema is
-    resolved when the reader is created, so the check costs no data read."""
+    """S5 where a missing table is not an error: it gives an empty frame and
+    a message.  Any other failure (no connection, bad driver, password) is
+    raised.  The schema is resolved when the reader is created, so the check
+    costs no data read."""
     try:
         return scan_jdbc(spark, url, table, properties, **kw), "ok"
     except Exception as e:  # noqa: BLE001 - the driver's message varies per database
+        if not _MISSING_TABLE.search(str(e)):
+            raise
         return spark.createDataFrame([], T.StructType([])), f"table {table} not readable: {str(e)[:300]}"
 
 
@@ -95,11 +105,17 @@ def append_load(df: DataFrame, table: str, database: str | None = None, *, mode:
     cast to the table's types).  Returns the number of rows written,
     counted during the write itself (no second pass).
 
-    Spark commits a file-based table write as one job: readers see all new
-    rows or none."""
+    A column that the table lacks raises; one that the frame lacks is null.
+    Spark commits a file-based table write as one job: a single writer's
+    rows appear together."""
     spark = df.sparkSession
     target = spark.table(qualified(database, table)).schema
-    aligned = df.select(*[F.col(quote(f.name)).cast(f.dataType).alias(f.name) for f in target.fields])
+    given = {c.lower() for c in df.columns}
+    extra = sorted(given - {f.name.lower() for f in target.fields})
+    if extra:
+        raise ValueError(f"table {table} has no columns {extra}")
+    aligned = df.select(*[(F.col(quote(f.name)) if f.name.lower() in given else F.lit(None))
+                          .cast(f.dataType).alias(f.name) for f in target.fields])
     obs = Observation(f"load_{table}")
     aligned.observe(obs, F.count(F.lit(1)).alias("rows")).write.insertInto(
         qualified(database, table), overwrite=(mode == "overwrite"))

@@ -41,7 +41,10 @@ def read_csv_text(spark: SparkSession, path: str, *, multi_line: bool = True) ->
 
     ``multi_line`` keeps quoted line breaks inside a cell; such files are
     read one task per file, so very large inputs are best converted to
-    Parquet once (see ``dedupe_files``)."""
+    Parquet once (see ``dedupe_files``).  A file name that begins with
+    ``_`` raises: Spark would read it as empty."""
+    if path.rstrip("/").rsplit("/", 1)[-1].startswith("_"):
+        raise ValueError(f"Spark reads no file whose name begins with '_': rename {path}")
     names = dedupe_column_names(csv_header(spark, path, multi_line=multi_line))
     if not names:
         return spark.createDataFrame([], T.StructType([]))
@@ -113,17 +116,21 @@ def scan_csv_dir(spark: SparkSession, directory: str, *, source_column: str | No
     return union_by_name(frames)
 
 
+def csv_names(spark: SparkSession, directory: str, marker: str) -> tuple[list[str], list[str]]:
+    """Names of the CSV files of a directory: those without and those with ``marker``."""
+    names = [n for n, _ in _csv_entries(spark, directory)]
+    marked = [n for n in names if marker.lower() in n.lower()]
+    return [n for n in names if n not in marked], marked
+
+
 def scan_csv_excluding(spark: SparkSession, directory: str, marker: str = CLEANED_FILE_MARKER, *,
                        source_column: str | None = "source", multi_line: bool = True) -> ScanResult:
     """S3: like S2 but skipping files whose name contains ``marker``
     (case-insensitive).  An empty selection is not an error."""
-    included, excluded, frames = [], [], []
-    for name, path in _csv_entries(spark, directory):
-        if marker.lower() in name.lower():
-            excluded.append(name)
-            continue
-        included.append(name)
-        f = read_csv_text(spark, path, multi_line=multi_line)
+    included, excluded = csv_names(spark, directory, marker)
+    frames = []
+    for name in included:
+        f = read_csv_text(spark, f"{directory.rstrip('/')}/{name}", multi_line=multi_line)
         frames.append(f.withColumn(source_column, F.lit(name)) if source_column else f)
     return ScanResult(union_by_name(frames) if frames else None, included=included, excluded=excluded)
 

@@ -7,6 +7,10 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 
+#: What Spark's writers leave beside the data.
+SPARK_MARKERS = ("_SUCCESS", "_temporary", "_metadata", "_common_metadata")
+
+
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -27,7 +31,7 @@ def list_names(spark: SparkSession, directory: str) -> list[tuple[str, str]]:
     out = []
     for status in fs.listStatus(p):
         name = status.getPath().getName()
-        if name.startswith(("_", ".")):
+        if name.startswith(".") or name in SPARK_MARKERS:
             continue
         out.append((name, status.getPath().toString()))
     return sorted(out)
