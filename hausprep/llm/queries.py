@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from hausprep.llm import (
     decontamination,
     language_id,
+    license_scan,
     line_chunks,
     near_dedup,
     packing,
@@ -31,6 +32,10 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("hit_spans")
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
 
@@ -73,7 +78,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_decontamination, op3_quality_rules, op4_toxicity, op5_language_id, op6_quality_classifier,
+    found = (op1_decontamination, op2_license_scan, op3_quality_rules, op4_toxicity, op5_language_id, op6_quality_classifier,
              op7_near_dedup, op8_token_counts, op9_packing, op10_line_chunks, pipeline)
     return {f.__name__: f for f in found}
 
