@@ -7,11 +7,12 @@ import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Characters handled at once inside a task; bounds the numpy temporaries.
-PIECE_CHARS = 1 << 19
+#: UTF-8 bytes of text handled at once inside a task; bounds the numpy temporaries.
+PIECE_BYTES = 1 << 19
 
 #: Words of lower-cased text: runs of digits, a-z and non-ASCII characters.
 WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
@@ -54,17 +55,22 @@ def fold_of(doc_id: int, parts: int) -> int:
 
 
 def in_pieces(batch: pa.RecordBatch, column: str = "text") -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    """Slices of an Arrow batch of about ``PIECE_CHARS`` characters, each with its texts
-    (null becomes empty).  A single longer text is a slice of its own."""
-    texts = [t or "" for t in batch.column(column).to_pylist()]
-    start, chars = 0, 0
-    for i, t in enumerate(texts):
-        if i > start and chars + len(t) > PIECE_CHARS:
-            yield batch.slice(start, i - start), texts[start:i]
-            start, chars = i, 0
-        chars += len(t)
-    if start < len(texts):
-        yield batch.slice(start), texts[start:]
+    """Slices of an Arrow batch of about ``PIECE_BYTES`` bytes of text, each with its texts
+    (null becomes empty).  A single longer text is a slice of its own.  Only the texts of one slice
+    are Python strings at a time."""
+    texts = batch.column(column)
+    start, size = 0, 0
+    ends = []
+    for i, n in enumerate(pc.fill_null(pc.binary_length(texts), 0).to_pylist()):
+        if i > start and size + n > PIECE_BYTES:
+            ends.append(i)
+            start, size = i, 0
+        size += n
+    start = 0
+    for end in [*ends, len(texts)]:
+        if start < end:
+            yield batch.slice(start, end - start), [t or "" for t in texts.slice(start, end - start).to_pylist()]
+        start = end
 
 
 def record(schema: pa.Schema, *columns) -> pa.RecordBatch:

@@ -141,6 +141,24 @@ def blocks_of(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> list[list
         yield [(None if i is None else str(i), words_of(t)) for i, t in part.collect()]
 
 
+def automata_of(benchmark: DataFrame, window: int, block_bytes: int) -> list:
+    """One broadcast automaton per block of items."""
+    sc = benchmark.sparkSession.sparkContext
+    return [sc.broadcast(SuffixAutomaton(block, window)) for block in blocks_of(benchmark, block_bytes)]
+
+
+def hits_of(automata: list, text: str) -> tuple[int, list[list[int]], set]:
+    """Number of words, merged spans inside windows, and ids of the items hit."""
+    words = words_of(text)
+    spans: list[list[int]] = []
+    items: set = set()
+    for a in automata:
+        more, ids = a.value.spans(words)
+        spans += more
+        items |= ids
+    return len(words), merged(spans) if len(automata) > 1 else spans, items
+
+
 def find_passages(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                   block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """All columns of ``docs`` and ``hit``: ``struct<n_words long, spans array<array<long>>, items array<string>>``.
@@ -151,10 +169,8 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     are one window with several names.  An empty benchmark hits nothing.  If ``docs`` has a column ``hit``,
     the new one is called ``hit_`` (and so on).
     """
-    spark = docs.sparkSession
     hit = fresh_name(docs, "hit")
-    automata = [spark.sparkContext.broadcast(SuffixAutomaton(block, window))
-                for block in blocks_of(benchmark, block_bytes)]
+    automata = automata_of(benchmark, window, block_bytes)
     source = docs.withColumn(hit, F.lit(None).cast("struct<n_words:long,spans:array<array<long>>,items:array<string>>"))
 
     def task(batches):
@@ -162,15 +178,8 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
             for part, texts in in_pieces(batch):
                 hits = []
                 for t in texts:
-                    words = words_of(t)
-                    spans, items = [], set()
-                    for a in automata:
-                        more, ids = a.value.spans(words)
-                        spans += more
-                        items |= ids
-                    if len(automata) > 1:
-                        spans = merged(spans)
-                    hits.append({"n_words": len(words), "spans": spans, "items": sorted(items)})
+                    n_words, spans, items = hits_of(automata, t)
+                    hits.append({"n_words": n_words, "spans": spans, "items": sorted(items)})
                 columns = [part.column(i) for i in range(part.num_columns - 1)]
                 kind = part.schema.field(part.num_columns - 1).type
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(hits, kind)], schema=part.schema)
@@ -212,28 +221,28 @@ def cut_passages(text: str, spans: list[list[int]]) -> str:
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
-                  max_coverage: float = 0.2) -> DataFrame:
+                  max_coverage: float = 0.2, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``docs`` without benchmark passages, in the same columns.
 
     Matched spans (of ``window`` words or more, or whole shorter items) are cut out of the text; a document
     of whose words more than ``max_coverage`` lie in such spans goes altogether.  Documents without a match,
     with null or empty text included, stay as they are.
     """
-    found = find_passages(docs, benchmark, window)
-    hit = found.columns[-1]
-    n_hit = F.aggregate(F.col(hit)["spans"], F.lit(0).cast("long"), lambda n, s: n + s[1] - s[0])
-    kept = found.where(n_hit <= F.lit(float(max_coverage)) * F.col(hit)["n_words"])
-    columns = docs.columns
-    at, schema = columns.index("text"), docs.schema
+    automata = automata_of(benchmark, window, block_bytes)
+    columns, schema = docs.columns, docs.schema
+    at = columns.index("text")
 
+    # One pass, not a search and then a cut: each step of its own would hold a Python worker more per core.
     def task(batches):
         for batch in batches:
             for part, texts in in_pieces(batch):
-                spans = part.column(part.num_columns - 1).field("spans").to_pylist()
-                nulls = part.column(at).is_null().to_pylist()
-                cut = [None if null else cut_passages(t, s) if s else t for t, s, null in zip(texts, spans, nulls)]
+                cut, keep = [], []
+                for t, null in zip(texts, part.column(at).is_null().to_pylist()):
+                    n_words, spans, _ = hits_of(automata, t)
+                    keep.append(sum(end - first for first, end in spans) <= max_coverage * n_words)
+                    cut.append(None if null else cut_passages(t, spans) if spans else t)
                 arrays = [part.column(i) for i in range(len(columns))]
                 arrays[at] = pa.array(cut, part.schema.field(at).type)
-                yield pa.RecordBatch.from_arrays(arrays, names=columns)
+                yield pa.RecordBatch.from_arrays(arrays, names=columns).filter(pa.array(keep, pa.bool_()))
 
-    return kept.mapInArrow(task, schema)
+    return docs.mapInArrow(task, schema)

@@ -37,13 +37,13 @@ class Encoder:
         points = np.arange(0x110000, dtype=np.uint64)
         alpha = np.fromiter((chr(i).isalpha() for i in range(0x110000)), bool, 0x110000)
         slots = np.where(points < 1024, points, 1024 + ((points * 2654435761) >> np.uint64(15)) % 1024)
-        self.slots = np.where(alpha, slots, 0).astype(np.int64)
+        self.slots = np.where(alpha, slots, 0).astype(np.int16)
 
     def trigrams(self, texts: list[str]) -> list[np.ndarray]:
         """Trigram codes of each text; a gap (code 0) stands for any run of non-letters and at both ends."""
         lowered = ["\n" + t.lower() + "\n" for t in texts]
         points = np.frombuffer("".join(lowered).encode("utf-32-le", "surrogatepass"), np.uint32)
-        slots = self.slots[points]
+        slots = self.slots[points].astype(np.int64)
         first = np.concatenate([[0], np.cumsum([len(t) for t in lowered])])
         keep = slots > 0
         keep[1:] |= slots[:-1] > 0                  # one gap after each word
@@ -55,18 +55,30 @@ class Encoder:
         return [codes[a:max(a, b - 2)] for a, b in zip(bounds[:-1], bounds[1:])]
 
     def vectors(self, codes: np.ndarray) -> np.ndarray:
-        a, b, c = codes >> (2 * _SHIFT), (codes >> _SHIFT) & (_SLOTS - 1), codes & (_SLOTS - 1)
-        return self.places[0][a] * self.places[1][b] * self.places[2][c]
+        """Bound vectors, one byte an entry; made in blocks, so that temporaries stay small."""
+        out = np.empty((len(codes), self.places[0].shape[1]), np.int8)
+        for i in range(0, len(codes), 1024):
+            part = codes[i:i + 1024]
+            a, b, c = part >> (2 * _SHIFT), (part >> _SHIFT) & (_SLOTS - 1), part & (_SLOTS - 1)
+            np.multiply(self.places[0][a], self.places[1][b], out=out[i:i + 1024])
+            out[i:i + 1024] *= self.places[2][c]
+        return out
 
     def bundle(self, codes: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """Exact integer sum of the trigrams' vectors."""
         out = np.zeros(self.places[0].shape[1], np.int64)
-        for i in range(0, len(codes), 4096):
-            v = self.vectors(codes[i:i + 4096]).astype(np.float64)
-            out += (counts[i:i + 4096].astype(np.float64) @ v).astype(np.int64)
+        for i in range(0, len(codes), 1024):
+            v = self.vectors(codes[i:i + 1024]).astype(np.float64)
+            out += (counts[i:i + 1024].astype(np.float64) @ v).astype(np.int64)
         return out
 
 
+def bundled(counts: np.ndarray, vectors: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """The sum of those rows of ``vectors``, each as often as it occurs."""
+    return sum(counts[i:i + 4096].astype(np.float32) @ vectors[rows[i:i + 4096]].astype(np.float32)
+               for i in range(0, len(rows), 4096))
+
+
 _ENCODERS: dict[tuple, Encoder] = {}
 
 
@@ -138,12 +150,12 @@ def identify(docs: DataFrame, profiles: dict[str, np.ndarray], columns: list[Col
                 languages, cosines = [], []
                 grams = [np.unique(c, return_counts=True) for c in enc.trigrams(texts)]
                 codes, at = np.unique(np.concatenate([c for c, _ in grams]), return_inverse=True)
-                vectors = enc.vectors(codes).astype(np.float32)
+                vectors = enc.vectors(codes)
                 bounds = np.concatenate([[0], np.cumsum([len(c) for c, _ in grams])])
                 for k, (own, counts) in enumerate(grams):
                     best, cosine = -1, 0.0
                     if len(names) and len(own) and own[-1] > 0:
-                        v = counts.astype(np.float32) @ vectors[at[bounds[k]:bounds[k + 1]]]
+                        v = bundled(counts, vectors, at[bounds[k]:bounds[k + 1]])
                         norm = float(np.linalg.norm(v))
                         if norm:
                             near = held.value @ v / norm

@@ -55,7 +55,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 class _WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 200_000:
+        if len(self) > 100_000:
             self.clear()
         h = self[word] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
         return h
