@@ -27,16 +27,22 @@ def distinct_rows(df: DataFrame, canonical_numeric: Iterable[str] = ()) -> DataF
     Spark plans this as a partial hash aggregate before the shuffle, so a
     value repeated a billion times crosses the network at most once per map
     task.  ``canonical_numeric`` names text columns whose numeric spelling
-    should not matter (``3`` and ``3.0`` from two files are the same)."""
-    canon = list(canonical_numeric)
-    if canon:
-        df = df.withColumns(
-            {
-                c: F.coalesce(qcol(c).try_cast("double").try_cast("string"), qcol(c))
-                for c in canon
-            }
-        )
-    return df.dropDuplicates()
+    should not matter (see :func:`canonical_numbers`)."""
+    return canonical_numbers(df, canonical_numeric).dropDuplicates()
+
+
+def canonical_numbers(df: DataFrame, columns: Iterable[str]) -> DataFrame:
+    """Text columns with one spelling for equal plain decimals: ``3``, ``3.0``, ``+3`` and ``03.`` all
+    become ``3``.  Only digits are handled, as text, so integers and fractions of any length stay exact;
+    other text (exponents too) stays as it is."""
+    def one(c: str) -> Column:
+        text = qcol(c)
+        short = F.when(F.contains(text, F.lit(".")), F.rtrim(F.rtrim(text, F.lit("0")), F.lit("."))).otherwise(text)
+        short = F.regexp_replace(short, r"^(?:\+|(-))?0*(?=\d)", "$1")
+        short = F.when(short == "-0", F.lit("0")).otherwise(short)
+        return F.when(text.rlike(r"^[+-]?[0-9]+(\.[0-9]*)?$"), short).otherwise(text)
+    found = {c: one(c) for c in columns}
+    return df.withColumns(found) if found else df
 
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,

@@ -87,6 +87,10 @@ class ListingColumns:
         return {f.name: getattr(self, f.name) for f in fields(self)
                 if f.name != "unused" and getattr(self, f.name) is not None}
 
+    def numeric(self) -> list[str]:
+        names = (self.latitude, self.longitude, self.price, self.beds, self.baths, self.acreage, self.sqft_fallback)
+        return [n for n in names if n is not None]
+
     def required_for_address(self) -> list[str]:
         return [self.street_address, self.locality, self.region, self.price]
 
@@ -129,13 +133,20 @@ def load_stage(frames: Sequence[DataFrame] | DataFrame) -> DataFrame:
     return union_by_name([na_tokens(f) for f in frames])
 
 
+def numeric_text(raw: DataFrame, cols: ListingColumns, chosen: Sequence[str] | None = None) -> list[str]:
+    """The text columns of ``raw`` that hold numbers."""
+    names = cols.numeric() if chosen is None else chosen
+    return [f.name for f in raw.schema.fields if f.name in names and f.dataType.simpleString() == "string"]
+
+
 def dedupe_stage(raw: DataFrame, cols: ListingColumns, *, checkpoint: bool = True,
-                 canonical_numeric: Sequence[str] = ()) -> DataFrame:
+                 canonical_numeric: Sequence[str] | None = None) -> DataFrame:
     """U2 -> materialise -> U3 (listing columns protected) -> F1.
 
     ``canonical_numeric`` names text columns whose numeric spelling must not
-    matter for duplicate detection (``3`` and ``3.0`` from two files)."""
-    deduped = distinct_rows(raw, canonical_numeric=[c for c in canonical_numeric if c in raw.columns])
+    matter for duplicate detection (``3`` and ``3.0`` from two files); the
+    numeric listing columns unless given."""
+    deduped = distinct_rows(raw, canonical_numeric=numeric_text(raw, cols, canonical_numeric))
     prints = None
     if checkpoint:
         # U3's fingerprint pass rides along the write that materialises U2.
@@ -272,7 +283,7 @@ def clean_listings(
     vocab_strategy: str = "auto",
     checkpoint: bool = True,
     cast_mode: str = "strict",
-    canonical_numeric: Sequence[str] = (),
+    canonical_numeric: Sequence[str] | None = None,
 ) -> DataFrame:
     """Raw regional listing frames (all text) -> clean listing table.
 

@@ -16,7 +16,7 @@ from hausprep.operators.profile import (
     iqr_fences,
     schema_info,
 )
-from hausprep.operators.setops import distinct_columns, fingerprint_exprs
+from hausprep.operators.setops import canonical_numbers, distinct_columns, fingerprint_exprs
 from hausprep.plans.listings import (
     ListingColumns,
     ListingOutput,
@@ -24,6 +24,7 @@ from hausprep.plans.listings import (
     consistency_stage,
     finalize_stage,
     load_stage,
+    numeric_text,
 )
 from hausprep.session import materialize, materialize_observed
 
@@ -51,42 +52,54 @@ def quality_report(df: DataFrame, critical: Sequence[str], value: str, *, factor
 
 def stage_metrics(frames, cols: ListingColumns = ListingColumns(),
                   out: ListingOutput = ListingOutput(), *, source_column: str | None = None) -> DataFrame:
-    """Rows at each stage of the listing cleaner - raw (and per source
-    when a source column exists), after duplicate removal, after dropping
-    rows without address/price, final.  Frame ``(stage, rows)``.
+    """Rows at each stage of the listing cleaner - raw (and ``raw:<source>``
+    per source when a source column exists), after duplicate removal, after
+    dropping rows without address/price, final - and ``nulls:<column>`` for
+    every final column.  Frame ``(stage, rows)``.
 
-    The duplicate-row aggregate also counts the copies of each distinct
-    row; their sum (raw rows), the number of distinct rows and U3's
-    fingerprints are observed during the one job that writes the
-    deduplicated rows.  That job is a result stage, so the observed values
-    are exact even when tasks are retried, and the raw input is read once.
-    The later counts scan the materialised table."""
+    The source is no part of a row's identity: the same listing in two
+    sources is one row.  Copies are counted per row and source in one
+    aggregate (written once if there is a source column), so the raw input
+    is read once; the number of distinct rows and U3's fingerprints are
+    observed during the write of the deduplicated rows.  Both are result
+    stages, so the values are exact even when tasks are retried."""
     raw = load_stage(frames)
+    by_source = source_column is not None and source_column in raw.columns
+    raw = canonical_numbers(raw, numeric_text(raw, cols))
     copies = "__copies"
-    dedup = raw.groupBy(*[qcol(c) for c in raw.columns]).agg(F.count(F.lit(1)).alias(copies))
+    if by_source:
+        raw = materialize(raw.groupBy(*[qcol(c) for c in raw.columns]).agg(F.count(F.lit(1)).alias(copies)), "copies")
+    else:
+        raw = raw.withColumn(copies, F.lit(1).cast("bigint"))
+    identity = [c for c in raw.columns if c not in (copies, source_column if by_source else copies)]
+    dedup = raw.groupBy(*[qcol(c) for c in identity]).agg(F.sum(copies).alias(copies))
     keys = dedup.drop(copies)
     written, metrics = materialize_observed(
         dedup, [*fingerprint_exprs(keys), F.sum(copies).alias("__raw_rows"),
                 F.count(F.lit(1)).alias("__dedup_rows")], "stage_metrics")
     deduped = written.drop(copies)
-    present = [c for c in cols.roles().values() if c in deduped.columns]
+    present = [c for c in [*cols.roles().values(), *cols.unused] if c in deduped.columns]
     complete = drop_incomplete(distinct_columns(deduped, protect=present, fingerprints=metrics),
                                cols.required_for_address())
     final = consistency_stage(finalize_stage(clean_stage(complete, cols, out), cols, out, raw_columns=complete.columns), out)
 
-    def count(stage: str, df: DataFrame) -> DataFrame:
-        return df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(stage).alias("stage"), "rows")
+    def counts(df: DataFrame, *stages) -> DataFrame:
+        """One aggregate for ``(stage, count)`` pairs, a row each."""
+        one = df.agg(*[value.cast("bigint").alias(f"n{i}") for i, (_, value) in enumerate(stages)])
+        return one.select(F.explode(F.array(*[
+            F.struct(F.lit(stage).alias("stage"), F.col(f"n{i}").alias("rows")) for i, (stage, _) in enumerate(stages)
+        ])).alias("s")).select("s.*")
 
+    every = F.count(F.lit(1))
     observed = deduped.sparkSession.createDataFrame(
         [("raw", int(metrics["__raw_rows"] or 0)), ("after_dedup", int(metrics["__dedup_rows"]))],
         "stage string, rows bigint")
-    parts = [observed, count("after_dropna", complete), count("final", final)]
-    if source_column and source_column in raw.columns:
-        parts.append(raw.groupBy(qcol(source_column)).agg(F.count(F.lit(1)).alias("rows"))
-                     .select(F.concat(F.lit("raw:"), qcol(source_column)).alias("stage"), "rows"))
-    result = parts[0]
-    for p in parts[1:]:
-        result = result.unionByName(p)
+    result = observed.unionByName(counts(complete, ("after_dropna", every))).unionByName(
+        counts(final, ("final", every), *[(f"nulls:{c}", F.count_if(_missing(final, c))) for c in final.columns]))
+    if by_source:
+        result = result.unionByName(
+            raw.groupBy(qcol(source_column)).agg(F.sum(copies).alias("rows"))
+            .select(F.concat(F.lit("raw:"), F.coalesce(qcol(source_column).cast("string"), F.lit(""))).alias("stage"), "rows"))
     return result
 
 

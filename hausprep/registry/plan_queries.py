@@ -18,6 +18,9 @@ from hausprep.registry.fixtures import (
 )
 from hausprep.registry.listing_queries import cleaned_listing_sql
 
+FINAL = ["listing_id", "city", "province", "price", "bedrooms", "bathrooms", "acreage", "square_footage", "garage",
+         "parking", "basement", "exterior", "fireplace", "heating", "flooring", "roof", "waterfront", "sewer", "pool",
+         "garden", "balcony"]
 CRITICAL = ["price", "bedrooms", "bathrooms", "square_footage"]
 
 
@@ -52,15 +55,20 @@ def _stage_sql():
 SELECT 'raw' AS stage, count(*) AS rows FROM raw
 UNION ALL SELECT 'after_dedup', count(*) FROM dedup
 UNION ALL SELECT 'after_dropna', count(*) FROM base
-UNION ALL SELECT 'final', count(*) FROM cleaned
+UNION ALL SELECT 'raw:first', count(*) FROM listings
+UNION ALL SELECT 'raw:second', count(*) FROM listings
+""" + "".join(f"""
+UNION ALL SELECT '{stage}', {value} FROM cleaned
   WHERE bedrooms IS NOT NULL AND bathrooms IS NOT NULL AND square_footage IS NOT NULL
-    AND square_footage > 120 AND price >= 50000"""
+    AND square_footage > 120 AND price >= 50000""" for stage, value in [
+        ("final", "count(*)"), *((f"nulls:{c}", f"CAST(count_if({c} IS NULL) AS BIGINT)") for c in FINAL)])
 
 
 @register("stage_metrics", _stage_sql())
 def q_stage_metrics(spark, sf):
-    """Rows at each stage of the cleaner."""
-    return stage_metrics(listing_raw_frames(spark, sf), VIEW_COLUMNS, VIEW_OUTPUT)
+    """Rows at each stage of the cleaner, per source, and missing values of the result."""
+    frames = [f.withColumn("source", F.lit(name)) for f, name in zip(listing_raw_frames(spark, sf), ("first", "second"))]
+    return stage_metrics(frames, VIEW_COLUMNS, VIEW_OUTPUT, source_column="source")
 
 
 def _profile_sql():

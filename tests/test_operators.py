@@ -189,6 +189,15 @@ def test_distinct_rows_numeric_spelling(spark):
     assert S.distinct_rows(df, canonical_numeric=["n"]).count() == 2
 
 
+def test_canonical_numbers_are_exact(spark):
+    texts = ["3", "3.0", "+3", "03.", "100", "-0.50", "-0", "0.0", "9007199254740992", "9007199254740993",
+             "12345678", "1e5", "", " 3", "3.0.0", None]
+    df = spark.createDataFrame([(t,) for t in texts], "n string")
+    assert [r[0] for r in S.canonical_numbers(df, ["n"]).collect()] == [
+        "3", "3", "3", "3", "100", "-0.5", "0", "0", "9007199254740992", "9007199254740993",
+        "12345678", "1e5", "", " 3", "3.0.0", None]
+
+
 def test_fingerprints_observed_during_write_equal_aggregate(spark):
     from hausprep.session import materialize_observed
     rows = [(i % 5, float(i % 5), f"s{i % 3}", None) for i in range(500)]
