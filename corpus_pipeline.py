@@ -22,9 +22,9 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without chunks of lines that occurred before (operator 10); documents of nothing else go."""
+    """Texts without chunks and passages of lines that occurred before (operator 10); documents of nothing else go."""
     removed = fresh_name(docs, "removed")
-    out = line_chunks.dedup_lines(docs, removed=removed)
+    out = line_chunks.dedup_lines(docs, removed=removed, passages=True)
     return out.where((F.col(removed) == 0) | F.col("text").rlike(r"\S")).drop(removed)
 
 

@@ -12,6 +12,12 @@ in the corpus are removed except for the first occurrence (lowest id, then
 place).  Occurrences meet by their digest and are compared byte by byte: the
 grouping key holds the chunk's text.  Should a digest ever stand for two
 different texts, its chunks stay.
+
+Two ends rarely both fall into a passage of a few lines.  ``passages`` also looks up,
+for every non-blank line, the shortest run of whole lines of ``LONG_WORDS`` words or
+more that starts there, and the shortest that ends there: runs of both kinds cover
+every line of a longer passage wherever it stands.  Runs whose hash repeats are
+compared byte by byte like chunks; all but the first occurrence go.
 """
 
 from __future__ import annotations
@@ -23,6 +29,8 @@ from hausprep.llm.common import fresh_name
 
 LONG_WORDS = 50
 _FACTOR, _PRIME = 31, 2_147_483_647
+#: At each start of a non-blank line with so many words after it: the shortest run of whole lines that holds them.
+_RUN = r"(?dm)^(?=([^\S\n]*(?:\S++\s++){%d}\S[^\n]*))" % (LONG_WORDS - 1)
 
 
 def _line_hash(line: Column) -> Column:
@@ -89,17 +97,64 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
         .select("id", "text_hash", "first", "last")
 
 
-def dedup_lines(docs: DataFrame, lines: str | None = None, removed: str | None = None) -> DataFrame:
+def _run_spans(rows: DataFrame) -> DataFrame:
+    """Adds ``runs``: the spans of lines to look up, each once, as ``first << 31 | last`` (exclusive), for ``text, lines``.
+
+    The runs found are those of the first so many non-blank lines, as only the last lines have too few words after them."""
+    solid = F.filter(F.transform("lines", lambda x, i: F.when(x.rlike(r"\S"), i)), lambda i: i.isNotNull())
+    rows = rows.select("*", solid.alias("solid"), F.reverse(solid).alias("from_end"))
+    height = lambda run: F.octet_length(run) - F.octet_length(F.replace(run, F.lit("\n"), F.lit(""))) + 1
+    span = lambda first, last: F.shiftleft(first.cast("long"), 31).bitwiseOR(last.cast("long"))
+    runs = lambda text, f: F.transform(F.regexp_extract_all(text, F.lit(_RUN), F.lit(1)), f)
+    starting = runs(F.col("text"), lambda run, k: span(F.get("solid", k), F.get("solid", k) + height(run)))
+    ending = runs(F.reverse(F.col("text")), lambda run, k: span(F.get("from_end", k) + 1 - height(run), F.get("from_end", k) + 1))
+    return rows.select("*", F.array_union(starting, ending).alias("runs")).drop("solid", "from_end")
+
+
+def repeated_passages(docs: DataFrame) -> DataFrame:
+    """``id, text_hash, first, last`` of the runs of lines to remove, for ``docs(id, text)``.
+
+    The first occurrence is that of the lowest id, then line, then text hash.  Occurrences that overlap it stay."""
+    docs = docs.where(F.col("id").isNotNull() & F.col("text").isNotNull()).withColumn("text_hash", F.xxhash64("text"))
+    rows = _run_spans(docs.withColumn("lines", F.split("text", "\n", -1)))
+    first, last = (lambda s: F.shiftright(s, 31).cast("int")), (lambda s: s.bitwiseAND(F.lit((1 << 31) - 1)).cast("int"))
+    own = lambda lines, s: F.array_join(F.slice(lines, first(s) + 1, last(s) - first(s)), "\n")
+    hashed = F.transform("runs", lambda s: F.struct(s.alias("span"), F.xxhash64(own(F.col("lines"), s)).alias("hash")))
+    found = rows.select("id", "text_hash", F.explode(hashed).alias("r")).select("id", "text_hash", "r.*")
+    often = found.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).select("hash")
+    spans = found.join(often, "hash").groupBy("id", "text_hash").agg(F.collect_set("span").alias("spans"))
+    # Only of documents with such runs are the runs' texts made.
+    rows = docs.join(spans, ["id", "text_hash"]).withColumn("lines", F.split("text", "\n", -1))
+    pieces = F.transform("spans", lambda s: F.struct(first(s).alias("first"), last(s).alias("last"), own(F.col("lines"), s).alias("piece")))
+    found = rows.select("id", "text_hash", F.explode(pieces).alias("p")).select("id", "text_hash", "p.*")
+    found = found.withColumn("digest", F.md5("piece")).withColumn("place", F.struct("id", "first", "text_hash", "last"))
+    same = found.groupBy("digest", "piece").agg(F.min("place").alias("kept"))
+    same = same.groupBy("digest").agg(F.count(F.lit(1)).alias("texts"), F.min("kept").alias("kept")).where(F.col("texts") == 1)
+    overlaps = (F.col("id") == F.col("kept.id")) & (F.col("text_hash") == F.col("kept.text_hash")) & (F.col("first") < F.col("kept.last"))
+    return found.drop("piece").join(same, "digest").where((F.col("place") != F.col("kept")) & ~overlaps) \
+        .select("id", "text_hash", "first", "last")
+
+
+def dedup_lines(docs: DataFrame, lines: str | None = None, removed: str | None = None, passages: bool = False) -> DataFrame:
     """``docs`` without repeated chunks, in the same columns; ``lines`` and ``removed`` name columns to add
-    with the number of lines before and of removed lines.
+    with the number of lines before and of removed lines.  With ``passages``, no passage of ``LONG_WORDS`` words
+    or more in whole lines stays a second time.
 
     Rows with a null id or text stay as they are (a null text has 0 lines).  A text may become empty.  Rows
     with the same id and the same text are one document for the first occurrence, so they keep the same
     lines; rows with the same id and different texts are handled by their own text.
     """
     key, hashed, gone = (fresh_name(docs, c) for c in ("key__", "hash__", "gone__"))
-    cut = repeated_chunks(docs.select(docs["doc_id"].cast("long").alias("id"), docs["text"].alias("text")))
-    cut = cut.groupBy("id", "text_hash").agg(F.array_sort(F.collect_set(F.struct("first", "last"))).alias(gone)) \
+    read = docs.select(docs["doc_id"].cast("long").alias("id"), docs["text"].alias("text"))
+    cut = repeated_chunks(read)
+    if passages:
+        cut = cut.unionByName(repeated_passages(read))
+    cut = cut.groupBy("id", "text_hash").agg(F.array_sort(F.collect_set(F.struct("first", "last"))).alias(gone))
+    if passages:      # these overlap: spans of one line each instead
+        numbers = F.flatten(F.transform(gone, lambda s: F.sequence(s["first"], s["last"] - 1)))
+        cut = cut.withColumn(gone, F.array_sort(F.array_distinct(numbers))) \
+            .withColumn(gone, F.transform(gone, lambda i: F.struct(i.alias("first"), (i + 1).alias("last"))))
+    cut = cut \
         .withColumnsRenamed({"id": key, "text_hash": hashed})
     rows = docs.withColumn(key, docs["doc_id"].cast("long")).withColumn(hashed, F.xxhash64(docs["text"]))
     named = rows.where(F.col(key).isNotNull()).join(cut, [key, hashed], "left")

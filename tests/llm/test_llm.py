@@ -286,3 +286,52 @@ def test_line_chunks_find_shifted_passages(spark):
     for k, text in docs[1:]:
         assert sum(p in out[k] for p in passage) < 12
         assert set(text.split("\n")) - set(passage) <= set(out[k].split("\n"))
+
+
+def long_runs(text):
+    """All runs of whole lines, non-blank at both ends, of 50 words or more, the shortest from each line on."""
+    lines = text.split("\n")
+    for a in range(len(lines)):
+        for b in range(a + 1, len(lines) + 1):
+            if len("\n".join(lines[a:b]).split()) >= 50:
+                if lines[a].split():
+                    yield a, b, "\n".join(lines[a:b])
+                break
+
+
+@pytest.mark.parametrize("n_lines", [2, 3, 4, 5, 6])
+def test_passages_of_few_lines_go(spark, n_lines):
+    rnd = random.Random(n_lines)
+    line = lambda n: " ".join(str(rnd.random()) for _ in range(n))
+    passages = [[line(n) for n in [51 // n_lines + 1] * (n_lines - 1) + [51 - 51 // n_lines]] for _ in range(20)]
+    passages[0][1] += "\t\t é"
+    docs, own = [], {}
+    for k in range(60):
+        own[k] = [[line(rnd.randint(3, 9)) for _ in range(rnd.randint(0, 5))] for _ in range(2)]
+        docs.append((k, "\n".join(own[k][0] + passages[k % 20] + own[k][1])))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    out = {r["doc_id"]: r["text"] for r in line_chunks.dedup_lines(df, passages=True).collect()}
+    for k, text in docs:
+        assert out[k] == (text if k < 20 else "\n".join(own[k][0] + own[k][1])), k
+
+
+def test_passages_keep_their_first_occurrence(spark):
+    a = "one two three four five six seven eight nine ten"
+    docs = [(1, "\n".join([a] * 23)), (2, "\n".join(["before"] + [a] * 5 + ["", "after"])), (2, "\n".join([a] * 5 + ["other"])),
+            (3, "\n".join([a] * 4 + ["short"])), (None, "\n".join([a] * 6))]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    out = sorted(((r["doc_id"], r["text"]) for r in line_chunks.dedup_lines(df, passages=True).collect()), key=str)
+    assert out == sorted([(1, "\n".join([a] * 5)), (2, "before\n\nafter"), (2, "other"), docs[3], docs[4]], key=str)
+
+
+def test_line_dedup_stage_leaves_no_passage_twice(spark, texts):
+    docs = table(spark, SF, "documents")
+    seen, lines = {}, set()
+    for r in corpus_pipeline.repeated_lines(spark, docs, SF).orderBy("doc_id").collect():
+        lines.update(r["text"].split("\n"))
+        assert not set(r["text"].split("\n")) - set(texts[r["doc_id"]].split("\n"))
+        for a, b, run in long_runs(r["text"]):
+            if run in texts[r["doc_id"]]:      # not one that a cut has put together
+                other = seen.setdefault(run, (r["doc_id"], b))
+                assert other[0] == r["doc_id"] and a < other[1], (other, r["doc_id"])
+    assert {x for t in texts.values() if t for x in t.split("\n") if x.strip()} <= lines
