@@ -129,9 +129,10 @@ def learn_profiles(docs: DataFrame, dimensions: int = DIMENSIONS, seed: int = SE
 
 
 def identify(docs: DataFrame, profiles: dict[str, np.ndarray], columns: list[Column],
-             dimensions: int = DIMENSIONS, seed: int = SEED, pred: str = "lang_pred", score: str = "score") -> DataFrame:
+             dimensions: int = DIMENSIONS, seed: int = SEED, pred: str = "lang_pred", score: str = "score",
+             trigrams: str | None = None) -> DataFrame:
     """``columns`` of ``docs`` with ``lang_pred`` and ``score`` (or as named), the cosine of the nearest
-    prototype (0 at least).
+    prototype (0 at least); ``trigrams`` names a column to add with the text's number of trigrams.
 
     A null text, one without a letter, or any text if nothing was learned, is ``und`` with score 0.
     Ties go to the first language by name.
@@ -140,8 +141,9 @@ def identify(docs: DataFrame, profiles: dict[str, np.ndarray], columns: list[Col
     matrix = np.array([profiles[n] for n in names], np.float32).reshape(len(names), dimensions)
     held = docs.sparkSession.sparkContext.broadcast(matrix)
     source = docs.select(*columns, docs["text"].alias(fresh_name(docs, "read__")))
-    kept, read = source.columns[:-1], source.columns[-1]
-    out = source.drop(read).withColumns({pred: F.lit(None).cast("string"), score: F.lit(None).cast("double")}).schema
+    read = source.columns[-1]
+    out = source.drop(read).withColumns({pred: F.lit(None).cast("string"), score: F.lit(None).cast("double")})
+    out = (out.withColumn(trigrams, F.lit(None).cast("long")) if trigrams else out).schema
 
     def task(batches):
         enc = encoder(dimensions, seed)
@@ -163,21 +165,25 @@ def identify(docs: DataFrame, profiles: dict[str, np.ndarray], columns: list[Col
                             cosine = min(1.0, max(0.0, float(near[best])))
                     languages.append(names[best] if best >= 0 else "und")
                     cosines.append(cosine)
+                numbers = [pa.array([int(n.sum()) for _, n in grams], pa.int64())] if trigrams else []
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:-1], pa.array(languages, pa.string()), pa.array(cosines, pa.float64())],
-                    names=[*kept, pred, score])
+                    [*part.columns[:-1], pa.array(languages, pa.string()), pa.array(cosines, pa.float64()), *numbers],
+                    names=out.names)
 
     return source.mapInArrow(task, out)
 
 
-def reject_unknown(docs: DataFrame, min_score: float = 0.2, min_chars: int = 200) -> DataFrame:
+def reject_unknown(docs: DataFrame, min_score: float = 0.2, min_chars: int = 200, full_trigrams: int = 120,
+                   least_trigrams: int = 10) -> DataFrame:
     """``docs`` without those in no known language, in the same columns.
 
     Profiles are learned from all documents with a ``lang``.  Rejected are texts that are null or have no
-    letter, and texts of ``min_chars`` or more whose cosine to every profile is below ``min_score``; a shorter
-    text has too few trigrams for a low cosine to tell anything.
+    letter, and texts whose cosine to every profile is below a floor: ``min_score`` for texts of ``min_chars`` or
+    ``full_trigrams`` or more, for shorter ones in proportion to their trigrams.  Only texts of less than
+    ``least_trigrams`` trigrams, a word or two, have none: there the cosine tells nothing.
     """
-    pred, score = fresh_name(docs, "lang_pred"), fresh_name(docs, "lang_score")
-    known = identify(docs, learn_profiles(docs), [docs[c] for c in docs.columns], pred=pred, score=score)
-    return known.where((F.col(pred) != "und") & ((F.col(score) >= min_score) | (F.char_length("text") < min_chars))) \
-        .drop(pred, score)
+    pred, score, trigrams = (fresh_name(docs, c) for c in ("lang_pred", "lang_score", "lang_trigrams"))
+    known = identify(docs, learn_profiles(docs), [docs[c] for c in docs.columns], pred=pred, score=score, trigrams=trigrams)
+    floor = F.when(F.char_length("text") >= min_chars, 1.0).when(F.col(trigrams) < least_trigrams, 0.0) \
+        .otherwise(F.least(F.lit(1.0), F.col(trigrams) / full_trigrams)) * min_score
+    return known.where((F.col(pred) != "und") & (F.col(score) >= floor)).drop(pred, score, trigrams)

@@ -335,3 +335,18 @@ def test_line_dedup_stage_leaves_no_passage_twice(spark, texts):
                 other = seen.setdefault(run, (r["doc_id"], b))
                 assert other[0] == r["doc_id"] and a < other[1], (other, r["doc_id"])
     assert {x for t in texts.values() if t for x in t.split("\n") if x.strip()} <= lines
+
+
+def test_language_stage_rejects_short_unknown_texts(spark):
+    rnd = random.Random(4)
+    russian = "в начале было слово и слово было у бога и слово было бог оно было в начале у бога все через него начало быть " * 2
+    turkish = "bütün insanlar hür haysiyet ve haklar bakımından eşit doğarlar akıl ve vicdana sahiptirler ve birbirlerine karşı " * 2
+    letters = lambda n: "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz    ") for _ in range(n))
+    bad = [russian[k:k + 40 + 2 * k] for k in range(60)] + [turkish[k:k + 150] for k in range(30)] + [letters(100 + k) for k in range(90)]
+    docs = table(spark, SF, "documents").select("doc_id", "text", "lang").where("text is not null")
+    given = spark.createDataFrame([(-1 - k, t, None) for k, t in enumerate(bad)], docs.schema)
+    stay = corpus_pipeline.known_language(spark, docs.unionByName(given), SF).select("doc_id", "text").collect()
+    assert all(len(t) < 200 for t in bad)
+    assert sum(r["doc_id"] < 0 for r in stay) <= 0.05 * len(bad)
+    short = {r["doc_id"] for r in docs.collect() if len(r["text"]) < 200 and any(c.isalpha() for c in r["text"])}
+    assert len(short & {r["doc_id"] for r in stay}) >= 0.98 * len(short) > 0
