@@ -5,8 +5,8 @@ length: the shares of character classes, and the shares of its common words
 (words that make up at least ``COMMON_SHARE`` of the language's words, hence at
 most ``1 / COMMON_SHARE`` words; all others are one class).  A document fails if
 the Jensen-Shannon distance of its own shares to those of its language is too
-large.  Short documents, whose shares are mostly chance, are only held against
-the base rules.
+large.  Common words are compared from the base rule's ``MIN_WORDS`` words on; below
+``MIN_WORDS_COMMON`` words the limit widens with the chance in the shares.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from hausprep.llm.common import in_pieces, pick, record
 COMMON_SHARE = 0.002
 MIN_WORDS = 50           # base rule, and least words of a document that counts for a reference
 MIN_CHARS = 300          # least characters for the character classes to be compared
-MIN_WORDS_COMMON = 150   # least words for the common words to be compared
+MIN_WORDS_COMMON = 150   # least words for the common words to be held to MAX_WORD_DISTANCE itself
 MAX_CHAR_DISTANCE = 0.30
 MAX_WORD_DISTANCE = 0.36
 MAX_REPEATED = 50        # per cent of the words
@@ -160,6 +160,11 @@ def learn_references(docs: DataFrame, common_share: float = COMMON_SHARE) -> dic
     return {lang: Reference(classes[lang], common[lang], totals[lang]) for lang in sorted(totals)}
 
 
+def word_limit(n_words: int, max_word_distance: float = MAX_WORD_DISTANCE) -> float:
+    """The largest common-word distance of a document of ``n_words`` words; chance falls with their square root."""
+    return max_word_distance + max(0.0, n_words ** -0.5 - MIN_WORDS_COMMON ** -0.5)
+
+
 def quality_rules(docs: DataFrame, max_char_distance: float = MAX_CHAR_DISTANCE,
                   max_word_distance: float = MAX_WORD_DISTANCE) -> DataFrame:
     """Per row of ``docs``: ``doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
@@ -182,12 +187,15 @@ def quality_rules(docs: DataFrame, max_char_distance: float = MAX_CHAR_DISTANCE,
         failed = len(words) < MIN_WORDS or 100 * base[3] > MAX_REPEATED * len(words)
         against = [references[lang]] if lang in references else list(references.values())
         char = word = None
-        if against and len(text) >= MIN_CHARS:
+        if against and (len(text) >= MIN_CHARS or len(words) >= MIN_WORDS):
             classes, counts = class_counts(text), Counter(words)
             char, word = min(r.distances(classes, counts, len(words)) for r in against) if words else (1.0, 1.0)
-            if len(words) < MIN_WORDS_COMMON:
+            if len(text) < MIN_CHARS:
+                char = None
+            if len(words) < MIN_WORDS:
                 word = None
-        ok = not failed and (char is None or char <= max_char_distance) and (word is None or word <= max_word_distance)
+        ok = not failed and (char is None or char <= max_char_distance) \
+            and (word is None or word <= word_limit(len(words), max_word_distance))
         return len(words), *base, failed, ok, char, word
 
     def task(batches):

@@ -350,3 +350,21 @@ def test_language_stage_rejects_short_unknown_texts(spark):
     assert sum(r["doc_id"] < 0 for r in stay) <= 0.05 * len(bad)
     short = {r["doc_id"] for r in docs.collect() if len(r["text"]) < 200 and any(c.isalpha() for c in r["text"])}
     assert len(short & {r["doc_id"] for r in stay}) >= 0.98 * len(short) > 0
+
+
+def test_quality_rules_on_short_labelled_documents(spark):
+    sf = "/root/testdata/sf0.1"
+    labels = {r["doc_id"]: r["quality"] for r in table(spark, sf, "labels").where("quality is not null").collect()}
+    rows = [r for r in queries.op3_quality_rules(spark, sf).collect() if r["doc_id"] in labels and not r["base_failed"]]
+    for least, most in ((50, 150), (150, 1 << 40)):
+        good, bad = ([r["kept"] for r in rows if labels[r["doc_id"]] == y and least <= r["n_words"] < most] for y in (1, 0))
+        assert len(good) > 200 and np.mean(good) >= 0.99
+        assert len(bad) > 50 and np.mean(bad) <= 0.02
+
+
+def test_common_words_of_short_words(spark):
+    good = "it is of no use to me to go on so as he is in or by it we do "
+    docs = [(k, good * 20, "en") for k in range(30)] + [(101, " ".join("zq%d" % k for k in range(55)), "en")]
+    rows = {r["doc_id"]: r for r in quality_rules.quality_rules(spark.createDataFrame(docs, "doc_id long, text string, lang string")).collect()}
+    assert len(docs[-1][1]) < quality_rules.MIN_CHARS and not rows[101]["base_failed"]
+    assert rows[101]["word_distance"] > 0.5 and rows[101]["char_distance"] is None and not rows[101]["kept"]
