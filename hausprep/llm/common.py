@@ -77,3 +77,14 @@ def record(schema: pa.Schema, *columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [c if isinstance(c, (pa.Array, pa.ChunkedArray)) else pa.array(c, t)
          for c, t in zip(columns, schema.types)], schema=schema)
+
+
+def lookup(rows: DataFrame, values: DataFrame, key: str, n: str, how: str = "left", hot: int = 1000) -> DataFrame:
+    """``rows`` joined with ``values``, which has one row per ``key`` and in ``n`` the number of ``rows`` with it.
+
+    The ``hot`` keys of most rows (ties: by key) are broadcast, a table of a fixed number of rows; the rest meet by
+    a shuffle in which no key has more than one in ``hot`` of all rows.  Keys must not be null."""
+    top = values.orderBy(F.desc(n), key).limit(hot)
+    found = rows.join(F.broadcast(top), key, "inner")
+    rest = rows.join(F.broadcast(top.select(key)), key, "left_anti").join(values, key, how)
+    return found.unionByName(rest)

@@ -16,6 +16,7 @@ from hausprep.llm import (
     packing,
     quality_classifier,
     quality_rules,
+    spelling,
     token_counts,
     toxicity,
 )
@@ -71,6 +72,10 @@ def op10_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_chunks.report(table(spark, sf_dir, "documents"))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_groups(table(spark, sf_dir, "documents"), 5, 3, drop_every=97)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -79,9 +84,9 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (op1_decontamination, op2_license_scan, op3_quality_rules, op4_toxicity, op5_language_id, op6_quality_classifier,
-             op7_near_dedup, op8_token_counts, op9_packing, op10_line_chunks, pipeline)
+             op7_near_dedup, op8_token_counts, op9_packing, op10_line_chunks, op11_spelling, pipeline)
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_line_chunks": line_chunks.ORACLE_SQL}
+    return {"op10_line_chunks": line_chunks.ORACLE_SQL, "op11_spelling": spelling.ORACLE_SQL}

@@ -58,7 +58,7 @@ def test_all_queries_on_odd_and_empty_tables(spark, odd, tmp_path):
             .write.parquet(f"{d}/labels.parquet")
         for q, f in queries.queries().items():
             rows = f(spark, d).collect()
-            if q.startswith("op") and not q.startswith("op9"):
+            if q.startswith("op") and q.split("_")[0] not in ("op9", "op11", "op13"):
                 assert len(rows) == (docs.count()), q
 
 
