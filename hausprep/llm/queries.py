@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from hausprep.llm import (
     decontamination,
+    hard_negatives,
     language_id,
     license_scan,
     line_chunks,
@@ -16,6 +17,7 @@ from hausprep.llm import (
     packing,
     quality_classifier,
     quality_rules,
+    simhash,
     spelling,
     token_counts,
     toxicity,
@@ -76,6 +78,16 @@ def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_groups(table(spark, sf_dir, "documents"), 5, 3, drop_every=97)
 
 
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_groups(table(spark, sf_dir, "documents"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = pick(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", "label")
+    relabelled = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(rows.withColumn("label", relabelled), F.col("id") % 50 == 0, 5, 3)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -84,9 +96,10 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (op1_decontamination, op2_license_scan, op3_quality_rules, op4_toxicity, op5_language_id, op6_quality_classifier,
-             op7_near_dedup, op8_token_counts, op9_packing, op10_line_chunks, op11_spelling, pipeline)
+             op7_near_dedup, op8_token_counts, op9_packing, op10_line_chunks, op11_spelling, op12_simhash, op13_hard_negatives, pipeline)
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_line_chunks": line_chunks.ORACLE_SQL, "op11_spelling": spelling.ORACLE_SQL}
+    return {"op10_line_chunks": line_chunks.ORACLE_SQL, "op11_spelling": spelling.ORACLE_SQL,
+            "op13_hard_negatives": hard_negatives.ORACLE_SQL}

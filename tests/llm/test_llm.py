@@ -56,6 +56,8 @@ def test_all_queries_on_odd_and_empty_tables(spark, odd, tmp_path):
         (bench if name == "odd" else bench.limit(0)).write.parquet(f"{d}/benchmark.parquet")
         spark.createDataFrame([(9, 1, 0), (4, 0, 1), (None, 1, 1), (8, None, None)], "doc_id long, quality int, toxic int") \
             .write.parquet(f"{d}/labels.parquet")
+        vectors = spark.createDataFrame([(0, [0.5, None], 1), (None, [0.5], 1), (50, None, 1), (100, [0.5], None)], "vec_id long, embedding array<float>, label int")
+        (vectors if name == "odd" else vectors.limit(0)).write.parquet(f"{d}/embeddings.parquet")
         for q, f in queries.queries().items():
             rows = f(spark, d).collect()
             if q.startswith("op") and q.split("_")[0] not in ("op9", "op11", "op13"):
