@@ -53,18 +53,18 @@ def dedupe_files(spark: SparkSession, source_dir: str, work_dir: str, *, multi_l
     return spark.read.parquet(clean_path)
 
 
-def load_typed(df: DataFrame, table: str, database: str, *, from_text: bool = True) -> int:
-    """C3 -> C5 -> C4 -> C6 for one frame; returns rows written.
+def load_typed(df: DataFrame, table: str, database: str, *, from_text: bool = True, run_id: str | None = None) -> int:
+    """C3 -> C5 -> C4 -> C6 for one frame; returns rows written (with ``run_id``, none if that run was complete).
 
     ``from_text=False``: the frame has types of its own, so text stays text
     but for the dates that C3 finds by name and value."""
     types = inferred_schema(df)
     if not from_text:
-        types = {c: t if t in ("date", "timestamp") or kind != "string" else "string"
+        types = {c: t if t == "timestamp" or t.startswith("date") or kind != "string" else "string"
                  for (c, t), (_, kind) in zip(types.items(), df.dtypes)}
     typed = nan_to_null(apply_types(df, types))
     create_if_not_exists(df.sparkSession, table, typed.schema, database)
-    return append_load(typed, table, database)
+    return append_load(typed, table, database, run_id=run_id)
 
 
 def _run_isolated(items: list, work, parallelism: int) -> list[tuple]:
@@ -88,11 +88,13 @@ def _run_isolated(items: list, work, parallelism: int) -> list[tuple]:
 
 def import_directory(spark: SparkSession, directory: str, database: str,
                      marker: str = CLEANED_FILE_MARKER, *, parallelism: int = 4,
-                     multi_line: bool = True) -> DataFrame:
+                     multi_line: bool = True, run_id: str | None = None) -> DataFrame:
     """Every CSV of a directory (except files named with ``marker``),
     missing-value markers made null (C1), into a typed table of
     ``database``; one report row per file.  Files whose names give the same
-    table name are not loaded but reported as failed."""
+    table name are not loaded but reported as failed.
+
+    With ``run_id`` a failed run can be repeated: what it had loaded is not loaded again."""
     included, excluded = csv_names(spark, directory, marker)
     base = directory.rstrip("/")
     rows = [(name, None, "excluded", None, f"name contains {marker}") for name in excluded]
@@ -102,7 +104,7 @@ def import_directory(spark: SparkSession, directory: str, database: str,
         name, table = item
         if per_table[table] > 1:
             raise ValueError(f"{per_table[table]} files give the table name {table}")
-        n = load_typed(na_tokens(read_csv_text(spark, f"{base}/{name}", multi_line=multi_line)), table, database)
+        n = load_typed(na_tokens(read_csv_text(spark, f"{base}/{name}", multi_line=multi_line)), table, database, run_id=run_id)
         return (name, table, "loaded", n, None)
 
     rows += _run_isolated([(n, table_name_for(n)) for n in included], load, parallelism)
@@ -110,9 +112,10 @@ def import_directory(spark: SparkSession, directory: str, database: str,
 
 
 def transfer_zone(spark: SparkSession, source_db: str, target_db: str, *,
-                  parallelism: int = 4) -> DataFrame:
+                  parallelism: int = 4, run_id: str | None = None) -> DataFrame:
     """P5: every table of ``source_db`` -> typed table of ``target_db``;
-    empty tables are skipped, failures reported."""
+    empty tables are skipped, failures reported.  With ``run_id`` a failed
+    run can be repeated: what it had moved is not moved again."""
 
     def move(item):
         table, _ = item
@@ -120,7 +123,7 @@ def transfer_zone(spark: SparkSession, source_db: str, target_db: str, *,
         frame, _status = empty_guard(src, policy="skip", name=table)
         if frame is None:
             return (table, table, "skipped", 0, "empty table")
-        return (table, table, "transferred", load_typed(frame, table, target_db, from_text=False), None)
+        return (table, table, "transferred", load_typed(frame, table, target_db, from_text=False, run_id=run_id), None)
 
     tables = [r[0] for r in list_tables(spark, source_db).collect()]
     return _report(spark, _run_isolated([(t, t) for t in tables], move, parallelism))

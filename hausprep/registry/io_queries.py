@@ -31,6 +31,7 @@ from hausprep.sources.files import (
     read_csv_text,
     scan_csv_dir,
     scan_csv_excluding,
+    scan_csv_files,
     scan_parquet,
     scan_regions,
 )
@@ -217,6 +218,15 @@ def q_dedupe_column_names(spark, sf):
     return dedupe_columns(dup)
 
 
+#: The date columns that the query adds to ``orders``: DuckDB's format for writing each, two where values differ.
+WRITTEN_DATES = {"us_date": ["%m/%d/%Y"], "european_date": ["%d/%m/%Y"], "spelled_date": ["%B %d, %Y"], "short_date": ["%d %b %Y"],
+                 "mixed_date": ["%Y-%m-%d", "%m/%d/%Y"], "dotted_date": ["%d.%m.%Y"]}
+SPARK_FORMAT = {"%m/%d/%Y": "MM/dd/yyyy", "%d/%m/%Y": "dd/MM/yyyy", "%B %d, %Y": "MMMM dd, yyyy", "%d %b %Y": "dd MMM yyyy",
+                "%Y-%m-%d": "yyyy-MM-dd", "%d.%m.%Y": "dd.MM.yyyy"}
+READ_DATES = [("M/d/yyyy", "%m/%d/%Y"), ("d/M/yyyy", "%d/%m/%Y"), ("d.M.yyyy", "%d.%m.%Y"), ("MMMM d, yyyy", "%B %d, %Y"),
+              ("d MMM yyyy", "%d %b %Y")]
+
+
 def _infer_sql():
     cols = {
         "o_orderkey": "o_orderkey", "o_custkey": "o_custkey", "o_orderstatus": "o_orderstatus",
@@ -225,34 +235,63 @@ def _infer_sql():
         "is_finished": "o_orderstatus = 'F'",
         "all_missing": "CAST(NULL AS VARCHAR)",
     }
+    for name, formats in WRITTEN_DATES.items():
+        even, odd = (f"strftime(o_orderdate, '{f}')" for f in (formats[0], formats[-1]))
+        cols[name] = f"CASE WHEN o_orderkey % 2 = 0 THEN {even} ELSE {odd} END"
     parts = []
     for i, (name, expr) in enumerate(cols.items()):
         x = f"CAST({expr} AS VARCHAR)"
-        date_rule = (f"WHEN count_if({x} IS NOT NULL AND TRY_CAST({x} AS TIMESTAMP) IS NULL) = 0 THEN 'date' "
-                     if "date" in name else "")
+        none_of = f"count_if({x} IS NOT NULL AND {{}} IS NULL) = 0"
+        date_rule, format_rule = "", "NULL"
+        if "date" in name:
+            iso = none_of.format(f"TRY_CAST({x} AS TIMESTAMP)")
+            read = [(spark_format, none_of.format(f"try_strptime({x}, '{f}')")) for spark_format, f in READ_DATES]
+            date_rule = f"WHEN {iso} OR {' OR '.join(r for _, r in read)} THEN 'date' "
+            format_rule = f"CASE WHEN {iso} THEN NULL {' '.join(f'WHEN {r} THEN {sql_str(f)}' for f, r in read)} END"
         parts.append(f"""SELECT {i} AS ordinal, '{name}' AS column_name, CASE
   WHEN count({x}) = 0 THEN 'double'
   WHEN count_if({x} IS NOT NULL AND NOT regexp_full_match({x}, '[+-]?[0-9]+')) = 0
        THEN (CASE WHEN count({x}) = count(*) THEN 'bigint' ELSE 'double' END)
   WHEN count_if({x} IS NOT NULL AND TRY_CAST({x} AS DOUBLE) IS NULL) = 0 THEN 'double'
   WHEN count_if({x} IS NOT NULL AND lower({x}) NOT IN ('true', 'false')) = 0 AND count({x}) = count(*) THEN 'boolean'
-  {date_rule}ELSE 'string' END AS inferred_type FROM orders""")
+  {date_rule}ELSE 'string' END AS inferred_type, CAST({format_rule} AS VARCHAR) AS date_format FROM orders""")
     return " UNION ALL ".join(parts)
 
 
 @register("infer_types", _infer_sql())
 def q_infer_types(spark, sf):
-    """``orders`` plus a gappy integer, a true/false and an all-missing
-    column, written as CSV and read back as text."""
+    """``orders`` plus a gappy integer, a true/false, an all-missing column and dates
+    in several formats, written as CSV and read back as text."""
     o = table(spark, sf, "orders")
+    written = {name: F.when(F.col("o_orderkey") % 2 == 0, F.date_format("o_orderdate", SPARK_FORMAT[formats[0]]))
+               .otherwise(F.date_format("o_orderdate", SPARK_FORMAT[formats[-1]])) for name, formats in WRITTEN_DATES.items()}
     o = o.select("*", F.when(F.col("o_orderkey") % 10 == 0, F.lit(None)).otherwise(F.col("o_custkey"))
                  .alias("custkey_gappy"),
                  (F.col("o_orderstatus") == "F").alias("is_finished"),
-                 F.lit(None).cast("string").alias("all_missing"))
+                 F.lit(None).cast("string").alias("all_missing"), *[c.alias(name) for name, c in written.items()])
     path = write_csv(o, scratch_path(spark, "infer_csv"))
     return infer_types(read_csv_text(spark, path, multi_line=False))
 
 
+@register("scan_malformed", """
+SELECT CASE c_custkey % 10 WHEN 0 THEN 'too_long' WHEN 1 THEN 'too_short' ELSE 'row' END AS kind,
+       c_custkey || ',"' || c_name || chr(10) || 'x"' || CASE c_custkey % 10 WHEN 0 THEN ',' || c_nationkey || ',extra' WHEN 1 THEN ''
+         ELSE ',' || c_nationkey END AS record FROM customer""")
+def q_scan_malformed(spark, sf):
+    """S2 with malformed records in quarantine: a file in which every tenth record has a cell too many and
+    every tenth one too few, and a line break in every second cell."""
+    c = table(spark, sf, "customer")
+    rest = F.when(F.col("c_custkey") % 10 == 0, F.concat(F.lit(","), "c_nationkey", F.lit(",extra"))) \
+        .when(F.col("c_custkey") % 10 == 1, F.lit("")).otherwise(F.concat(F.lit(","), "c_nationkey"))
+    record = F.concat(F.col("c_custkey").cast("string"), F.lit(',"'), "c_name", F.lit('\nx"'), rest)
+    d = scratch_path(spark, "malformed")
+    lines = c.select(F.explode(F.split(record, "\n")).alias("id,name,nation"))
+    lines.write.options(header="true", quote="\x02", escapeQuotes="false", sep="\x01").csv(f"{d}/customer.csv")     # as they are
+    scan = scan_csv_files(spark, d, malformed="quarantine")
+    good = scan.frame.select(F.lit("row").alias("kind"), F.concat("id", F.lit(',"'), "name", F.lit('",'), "nation").alias("record"))
+    return good.unionByName(scan.rejected.select(F.col("reason").alias("kind"), "record"))
+
+
 @register("nan_to_null", "SELECT event_id, CASE WHEN event_id % 9 = 0 THEN NULL ELSE value END AS value FROM events")
 def q_nan_to_null(spark, sf):
     """NaN injected into a double column -> null."""
@@ -366,6 +405,64 @@ def q_transfer_zone(spark, sf):
     return report
 
 
+def _loaded(spark, db, tables: dict[str, list[str]]) -> DataFrame:
+    """Rows of loaded tables as text, with the types of their columns: ``table_name, types, cells``."""
+    out = None
+    for name, columns in tables.items():
+        t = spark.table(f"{db}.{name}")
+        kinds = ",".join(f"{c}:{k}" for c, k in t.dtypes)
+        cells = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in columns])
+        rows = t.select(F.lit(name).alias("table_name"), F.lit(kinds).alias("types"), cells.alias("cells"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+LOADED_CUSTOMER = ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"]
+LOADED_ORDERS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"]
+
+
+def _loaded_sql(name: str, columns: list[str], types: str) -> str:
+    text = lambda c: f"CAST(CAST({c} AS DATE) AS VARCHAR)" if c.endswith("date") else f"CAST({c} AS VARCHAR)"
+    cells = " || '|' || ".join(f"coalesce({text(c)}, '-')" for c in columns)
+    return f"SELECT '{name}' AS table_name, '{types}' AS types, {cells} AS cells FROM {name.removesuffix('_text')}"
+
+
+IMPORTED_TYPES = {
+    "customer": "c_custkey:bigint,c_name:string,c_nationkey:bigint,c_acctbal:double,c_mktsegment:string",
+    "orders": "o_orderkey:bigint,o_custkey:bigint,o_orderstatus:string,o_totalprice:double,o_orderdate:date,o_orderpriority:string"}
+
+
+@register("import_directory_tables", " UNION ALL ".join([
+    _loaded_sql("customer", LOADED_CUSTOMER, IMPORTED_TYPES["customer"]), _loaded_sql("orders", LOADED_ORDERS, IMPORTED_TYPES["orders"])]))
+def q_import_directory_tables(spark, sf):
+    """The tables it loads, rows and types; the run is repeated with the same run id and adds nothing."""
+    d, db = scratch_path(spark, "import_src"), zone(spark, "landing")
+    write_csv(table(spark, sf, "customer"), f"{d}/customer.csv")
+    write_csv(table(spark, sf, "orders"), f"{d}/orders.csv")
+    for _ in range(2):
+        import_directory(spark, d, db, run_id="monday")
+    return _loaded(spark, db, {"customer": LOADED_CUSTOMER, "orders": LOADED_ORDERS})
+
+
+TRANSFERRED_TYPES = {
+    "customer": "c_custkey:bigint,c_name:string,c_nationkey:int,c_acctbal:double,c_mktsegment:string",
+    "orders_text": "o_orderkey:string,o_custkey:string,o_orderstatus:string,o_totalprice:string,o_orderdate:date,o_orderpriority:string"}
+
+
+@register("transfer_zone_tables", " UNION ALL ".join([
+    _loaded_sql("customer", LOADED_CUSTOMER, TRANSFERRED_TYPES["customer"]),
+    _loaded_sql("orders_text", LOADED_ORDERS, TRANSFERRED_TYPES["orders_text"])]))
+def q_transfer_zone_tables(spark, sf):
+    """P5: the tables it loads, rows and types; the run is repeated with the same run id and adds nothing."""
+    src, dst = zone(spark, "landing"), zone(spark, "formatted")
+    table(spark, sf, "customer").write.saveAsTable(f"{src}.customer")
+    o = table(spark, sf, "orders")
+    o.select(*[F.col(x).cast("string").alias(x) for x in o.columns]).write.saveAsTable(f"{src}.orders_text")
+    for _ in range(2):
+        transfer_zone(spark, src, dst, run_id="monday")
+    return _loaded(spark, dst, {"customer": LOADED_CUSTOMER, "orders_text": LOADED_ORDERS})
+
+
 @register("order_by_name", """
 SELECT row_number() OVER (ORDER BY name) AS position, name, rows FROM (
 """ + " UNION ALL ".join(f"SELECT '{t}' AS name, count(*) AS rows FROM {t}" for t in reversed(ZONE_TABLES)) + ")")

@@ -22,6 +22,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def is_file(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return bool(fs.getFileStatus(p).isFile())
+
+
 def list_names(spark: SparkSession, directory: str) -> list[tuple[str, str]]:
     """``(name, full path)`` of the entries of a directory, sorted by name.
     A Spark output directory (``x.csv/part-*``) counts as one entry."""
@@ -45,6 +50,45 @@ def rename(spark: SparkSession, src: str, dst: str) -> None:
         raise OSError(f"rename failed: {src} -> {dst}")
 
 
+def touch(spark: SparkSession, path: str) -> None:
+    """An empty file."""
+    fs, p = _fs(spark, path)
+    fs.create(p, True).close()
+
+
 def mkdirs(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     fs.mkdirs(p)
+
+
+def first_lines(spark: SparkSession, path: str, enough) -> str:
+    """The first lines of a text file (of the first file with text in a directory), as many as ``enough(text)`` asks for.
+    A line ends at a line feed only.  This reads a file's header, not its rows."""
+    fs, p = _fs(spark, path)
+    status = fs.getFileStatus(p)
+    if status.isDirectory():
+        for name, inner in list_names(spark, path):
+            if not name.startswith("_"):
+                text = first_lines(spark, inner, enough)
+                if text:
+                    return text
+        return ""
+    jvm = spark.sparkContext._jvm
+    scanner = jvm.java.util.Scanner(fs.open(p), "UTF-8").useDelimiter("\n")
+    try:
+        lines: list[str] = []
+        while scanner.hasNext():
+            lines.append(scanner.next())
+            text = "\n".join(lines)
+            if text.strip("\r\n\ufeff") and enough(text.lstrip("\r\n\ufeff")):
+                break
+        return "\n".join(lines).lstrip("\r\n\ufeff").rstrip("\r")
+    finally:
+        scanner.close()
+
+
+def sizes(spark: SparkSession, path: str) -> list[int]:
+    """Bytes of a file, or of the files of a directory."""
+    fs, p = _fs(spark, path)
+    status = fs.getFileStatus(p)
+    return [s.getLen() for s in fs.listStatus(p)] if status.isDirectory() else [status.getLen()]

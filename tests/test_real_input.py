@@ -10,7 +10,7 @@ from hausprep.plans import zones
 from hausprep.plans.listings import ListingColumns, clean_listings
 from hausprep.plans.quality import quality_report
 from hausprep.session import scratch_path
-from hausprep.sources import catalog, files
+from hausprep.sources import catalog, files, fs
 
 
 def write_text(path, text):
@@ -67,6 +67,36 @@ def test_append_load_raises_on_extra_and_fills_missing(spark, tmp_path):
     assert spark.table(f"{db}.t").first()["b"] is None
 
 
+def test_failed_and_repeated_loads_leave_each_row_once(spark, tmp_path, monkeypatch):
+    db = f"once_{abs(hash(str(tmp_path)))}"
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{scratch_path(spark, db)}'")
+    spark.sql(f"CREATE TABLE {db}.t (a bigint, b string) USING parquet")
+    rows = spark.range(100).repartition(4).withColumn("b", F.col("id").cast("string")).withColumnRenamed("id", "a")
+    table = lambda: sorted(r.a for r in spark.table(f"{db}.t").collect())
+    failing = rows.withColumn("a", F.when(F.col("a") == 99, F.raise_error(F.lit("stop"))).otherwise(F.col("a")))
+    with pytest.raises(Exception, match="stop"):                     # fails while staging: nothing is seen
+        catalog.append_load(failing, "t", db, run_id="r1")
+    assert table() == []
+    rename, moves = fs.rename, []
+
+    def stops_at_third(spark, src, dst):
+        moves.append(src)
+        if len(moves) == 3:
+            raise OSError("lost")
+        rename(spark, src, dst)
+    monkeypatch.setattr(fs, "rename", stops_at_third)
+    with pytest.raises(OSError):                                     # fails between two moves
+        catalog.append_load(rows, "t", db, run_id="r1")
+    monkeypatch.setattr(fs, "rename", rename)
+    assert catalog.append_load(rows, "t", db, run_id="r1") == 100
+    assert catalog.append_load(rows, "t", db, run_id="r1") == 0
+    assert table() == list(range(100))
+    assert catalog.append_load(rows, "t", db, run_id="r2") == 100 and catalog.append_load(rows, "t", db) == 100
+    assert table() == sorted([*range(100)] * 3)
+    with pytest.raises(ValueError, match="run id"):
+        catalog.append_load(rows, "t", db, run_id="../x")
+
+
 @pytest.mark.parametrize("n", [1, 64, 65, 101])
 def test_terms_with_commas_are_the_same_at_every_size(spark, n):
     df = spark.createDataFrame([(["a,b", "c"],), ([None, "z"],), (None,)], "t array<string>")
