@@ -91,11 +91,24 @@ def cast_numeric(
     mode: str = "strict",
 ) -> DataFrame:
     """cast text columns to double; ``,`` is removed first only in the
-    columns named by ``strip_commas``."""
+    columns named by ``strip_commas``.
+
+    ``strict``: every row that is read is checked in all of ``columns``, whichever are
+    selected afterwards (the check is a filter, which column pruning leaves alone)."""
     commas = set(strip_commas)
-    return df.withColumns(
-        {c: to_double(qcol(c), strip="," if c in commas else None, mode=mode, label=c) for c in columns}
-    )
+    if mode == "strict":
+        malformed = F.coalesce(*[F.when(bad, F.concat(F.lit(f"cannot cast {c} to double: "), src.cast("string")))
+                                 for c in columns for src, bad in [_not_numeric(c, commas)]]) if columns else F.lit(None)
+        df = df.where(F.when(malformed.isNotNull(), F.raise_error(malformed)).otherwise(F.lit(True)))
+    elif mode != "null":
+        raise ValueError(f"unknown cast mode {mode!r}")
+    return df.withColumns({c: to_double(qcol(c), strip="," if c in commas else None, mode="null") for c in columns})
+
+
+def _not_numeric(name: str, commas: set[str]) -> tuple[Column, Column]:
+    """A column as it is cast, and whether it is present but not a number."""
+    src = F.replace(qcol(name), F.lit(","), F.lit("")) if name in commas else qcol(name)
+    return src, src.isNotNull() & as_double(src).isNull()
 
 
 def quarantine_rows(df: DataFrame, columns: Sequence[str], *, strip_commas: Iterable[str] = ()) -> DataFrame:
@@ -104,8 +117,7 @@ def quarantine_rows(df: DataFrame, columns: Sequence[str], *, strip_commas: Iter
     commas = set(strip_commas)
     bad = F.lit(False)
     for c in columns:
-        src = F.replace(qcol(c), F.lit(","), F.lit("")) if c in commas else qcol(c)
-        bad = bad | (src.isNotNull() & as_double(src).isNull())
+        bad = bad | _not_numeric(c, commas)[1]
     return df.filter(bad)
 
 

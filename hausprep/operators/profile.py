@@ -128,7 +128,7 @@ def schema_info(df: DataFrame, *, with_rows: bool = False) -> DataFrame:
 
 # ---- A7 / A8 / A10 / A11 ------------------------------------------------------
 
-def describe_numeric(df: DataFrame, columns: Sequence[str], *, num_ranges: int | None = None) -> DataFrame:
+def describe_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Count, mean, sample std, min, exact 25/50/75 % (linear
     interpolation) and max per numeric column, missing values ignored."""
     aggs = []
@@ -138,8 +138,7 @@ def describe_numeric(df: DataFrame, columns: Sequence[str], *, num_ranges: int |
                  F.stddev_samp(v).alias(f"std{i}"), F.min(v).alias(f"min{i}"),
                  F.max(v).alias(f"max{i}")]
     stats = _unpivot_one_row(df.agg(*aggs), columns, ["count", "mean", "std", "min", "max"])
-    quarts = quantile_frame(df, columns, [0.25, 0.5, 0.75], names=["p25", "p50", "p75"],
-                            num_ranges=num_ranges)
+    quarts = quantile_frame(df, columns, [0.25, 0.5, 0.75], names=["p25", "p50", "p75"])
     return stats.join(quarts, "column_name").select(
         "column_name", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
@@ -172,27 +171,24 @@ def describe_categorical(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def quantiles(df: DataFrame, column: str, probabilities: Sequence[float] = (0.25, 0.75), *,
-              names: Sequence[str] | None = None, num_ranges: int | None = None) -> DataFrame:
+              names: Sequence[str] | None = None) -> DataFrame:
     """A10: exact quantiles (linear interpolation) of one column."""
-    return quantile_frame(df, [column], probabilities, names=names,
-                          num_ranges=num_ranges).drop("column_name")
+    return quantile_frame(df, [column], probabilities, names=names).drop("column_name")
 
 
-def iqr_bounds(df: DataFrame, column: str, *, factor: float = 1.5,
-               num_ranges: int | None = None) -> DataFrame:
+def iqr_bounds(df: DataFrame, column: str, *, factor: float = 1.5) -> DataFrame:
     """One row: q1, q3, iqr and the lower/upper fences."""
-    q = quantiles(df, column, [0.25, 0.75], names=["q1", "q3"], num_ranges=num_ranges)
+    q = quantiles(df, column, [0.25, 0.75], names=["q1", "q3"])
     iqr = F.col("q3") - F.col("q1")
     return q.select("q1", "q3", iqr.alias("iqr"),
                     (F.col("q1") - F.lit(factor) * iqr).alias("lower"),
                     (F.col("q3") + F.lit(factor) * iqr).alias("upper"))
 
 
-def iqr_fences(df: DataFrame, column: str, *, factor: float = 1.5,
-               num_ranges: int | None = None) -> dict[str, float | None]:
+def iqr_fences(df: DataFrame, column: str, *, factor: float = 1.5) -> dict[str, float | None]:
     """The one-row result of :func:`iqr_bounds` as numbers (five values reach
     the driver, whatever the size of the column)."""
-    row = iqr_bounds(df, column, factor=factor, num_ranges=num_ranges).first()
+    row = iqr_bounds(df, column, factor=factor).first()
     return row.asDict() if row else {k: None for k in ("q1", "q3", "iqr", "lower", "upper")}
 
 
@@ -203,15 +199,13 @@ def _outside(column: str, fences: dict) -> Column:
     return (v < F.lit(fences["lower"])) | (v > F.lit(fences["upper"]))
 
 
-def iqr_outlier_rows(df: DataFrame, column: str, *, factor: float = 1.5,
-                     num_ranges: int | None = None) -> DataFrame:
+def iqr_outlier_rows(df: DataFrame, column: str, *, factor: float = 1.5) -> DataFrame:
     """Rows outside the fences (strictly below or above)."""
-    return df.where(_outside(column, iqr_fences(df, column, factor=factor, num_ranges=num_ranges)))
+    return df.where(_outside(column, iqr_fences(df, column, factor=factor)))
 
 
-def iqr_outliers(df: DataFrame, column: str, *, factor: float = 1.5,
-                 num_ranges: int | None = None) -> DataFrame:
+def iqr_outliers(df: DataFrame, column: str, *, factor: float = 1.5) -> DataFrame:
     """Fences and the number of rows outside them (one row)."""
-    f = iqr_fences(df, column, factor=factor, num_ranges=num_ranges)
+    f = iqr_fences(df, column, factor=factor)
     return df.agg(F.count_if(_outside(column, f)).alias("outliers")).select(
         *[F.lit(f[k]).cast("double").alias(k) for k in ("q1", "q3", "iqr", "lower", "upper")], "outliers")

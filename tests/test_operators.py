@@ -13,6 +13,7 @@ from hausprep.operators import filters as FL
 from hausprep.operators import profile as P
 from hausprep.operators import schema as SC
 from hausprep.operators import setops as S
+from hausprep.operators import quantiles
 from hausprep.operators.quantiles import quantile_frame
 from hausprep.operators.vocab import flag_membership, garage_vocab
 
@@ -109,22 +110,35 @@ def test_exact_quantiles_match_numpy_with_hot_value(spark):
     vals = np.concatenate([rnd.normal(100, 30, 3000).round(2), np.full(1500, 42.0), [np.nan] * 10])
     df = spark.createDataFrame([(float(v),) for v in vals] + [(None,)], "v double")
     probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
-    got = quantile_frame(df, ["v"], probs, num_ranges=7).first()
+    got = quantile_frame(df, ["v"], probs).first()
     clean = vals[~np.isnan(vals)]
     for i, p in enumerate(probs):
         assert got[f"q{int(round(p * 100))}"] == pytest.approx(float(np.percentile(clean, p * 100)), abs=1e-9)
 
 
-def test_exact_quantiles_without_exchange_reuse(spark):
-    vals = [float(v % 97) for v in range(2000)] + [5.0] * 1000
-    df = spark.createDataFrame([(v,) for v in vals], "v double")
-    spark.conf.set("spark.sql.exchange.reuse", "false")
-    try:
-        got = quantile_frame(df, ["v"], [0.25, 0.5, 0.75], num_ranges=5).first()
-    finally:
-        spark.conf.set("spark.sql.exchange.reuse", "true")
-    for p in (0.25, 0.5, 0.75):
-        assert got[f"q{int(p * 100)}"] == pytest.approx(float(np.percentile(vals, p * 100)))
+@pytest.mark.parametrize("most", [1, 7, 300])
+def test_quantiles_by_bracket(spark, most, monkeypatch):
+    """Brackets sketched again and again, on ties, hot values, steps and infinities, several columns at once."""
+    monkeypatch.setattr(quantiles, "MOST", most)
+    rnd = np.random.default_rng(most)
+    columns = [rnd.normal(0, 1, 3000), rnd.integers(0, 5, 3000).astype(float), np.r_[np.full(1500, 7.0), rnd.exponential(1e9, 1500)],
+               np.r_[np.full(1000, -np.inf), np.zeros(1000), np.full(1000, np.inf)], np.r_[[np.nan] * 2990, np.arange(10) - 5.0]]
+    df = spark.createDataFrame([tuple(map(float, r)) for r in zip(*columns)] + [(None,) * 5], "a double, b double, c double, d double, e double")
+    probs = [0.0, 0.001, 0.25, 0.333, 0.5, 0.9, 0.999, 1.0]
+    for values, got in zip(columns, quantiles.quantile_values(df, list("abcde"), probs)):
+        clean = np.sort(values[~np.isnan(values)])
+        for p, q in zip(probs, got):
+            h = (len(clean) - 1) * p
+            low, high = clean[int(np.floor(h))], clean[int(np.ceil(h))]
+            assert q == pytest.approx(low if low == high else low + (h - np.floor(h)) * (high - low), abs=1e-12), p
+
+
+def test_quantiles_of_a_bad_sketch(spark, monkeypatch):
+    """A sketch far off gives brackets that miss; they are widened until they hold the ranks."""
+    monkeypatch.setattr(quantiles, "MOST", 10)
+    monkeypatch.setattr(quantiles.F, "percentile_approx", lambda v, p, a: F.array(F.max(v), F.max(v)))
+    df = spark.range(1000).select(F.col("id").cast("double").alias("v"))
+    assert quantiles.quantile_values(df, ["v"], [0.25, 0.5]) == [[249.75, 499.5]]
 
 
 def test_quantiles_of_empty_column(spark):
@@ -167,6 +181,29 @@ def test_infer_types_rules(spark):
     assert dict(typed.dtypes)["sold_date"] == "date" and typed.first().b is True
 
 
+def test_dates_in_one_format(spark):
+    columns = {"us_date": ["1/2/2024", "12/31/2023"], "euro_date": ["1/2/2024", "31/12/2023"], "long_date": ["March 3, 2024", "May 12, 2023"],
+               "mixed_date": ["2024-01-02", "1/2/2024"], "iso_date": ["2024-01-02", "2024-01-02 10:00:00"], "bad_date": ["13/13/2024", "1/2/2024"],
+               "day": ["1/2/2024", "1/3/2024"], "time_date": ["1/2/2024 9:30", "10/20/2024 23:59"], "may_date": ["May 3, 2024", "May 4, 2024"]}
+    df = spark.createDataFrame([*zip(*columns.values()), (None,) * len(columns)], ", ".join(f"{c} string" for c in columns))
+    types = SC.inferred_schema(df)
+    assert types == {"us_date": "date[M/d/yyyy]", "euro_date": "date[d/M/yyyy]", "long_date": "date[MMMM d, yyyy]", "mixed_date": "string",
+                     "iso_date": "date", "bad_date": "string", "day": "string", "time_date": "date[M/d/yyyy H:mm]", "may_date": "date[MMMM d, yyyy]"}
+    row = SC.apply_types(df, types).first()
+    assert [str(row[c]) for c in ("us_date", "euro_date", "long_date", "iso_date", "time_date")] == [
+        "2024-01-02", "2024-02-01", "2024-03-03", "2024-01-02", "2024-01-02"]
+
+
+def test_strict_cast_whatever_is_selected(spark):
+    df = spark.createDataFrame([("a", "1", "1,5"), ("b", "oops", "2"), ("c", None, None)], "city string, latitude string, size string")
+    strict = FL.cast_numeric(df, ["latitude", "size"], strip_commas=["size"])
+    for read in (lambda: strict.select("city").collect(), lambda: strict.count(), lambda: strict.where("city = 'b'").select("city").collect()):
+        with pytest.raises(Exception, match="cannot cast latitude to double: oops"):
+            read()
+    good = FL.cast_numeric(df.where("city <> 'b'"), ["latitude", "size"], strip_commas=["size"])
+    assert sorted(map(tuple, good.collect())) == [("a", 1.0, 15.0), ("c", None, None)]
+
+
 def test_listing_cast_modes(spark):
     from hausprep.plans.listings import clean_listings
     from hausprep.registry.fixtures import VIEW_COLUMNS, VIEW_OUTPUT, listing_view
