@@ -196,9 +196,10 @@ def simhash_groups(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     signed = materialize(fingerprints(docs), "fingerprints")
     nodes = materialize(signed.groupBy("bits").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("least")), "nodes")
     roots = connected_components(links(in_units(nodes.select("bits"), block))).withColumnsRenamed({"id": "bits"})
-    nodes = nodes.join(roots, "bits", "left").select("bits", "n", "least", "root")
-    groups = roots.join(nodes.select("bits", "least"), "bits").groupBy("root").agg(F.min("least").alias("group_least"))
-    found = materialize(nodes.join(groups, "root", "left").select(
-        "bits", "n", F.when(F.col("root").isNull(), F.col("least")).otherwise(F.col("group_least")).alias("component_id")), "components")
+    linked = materialize(nodes.join(roots, "bits"), "linked")
+    groups = linked.groupBy("root").agg(F.count(F.lit(1)).alias("members"), F.min("least").alias("component_id"))
+    linked = lookup(linked, materialize(groups, "groups"), "root", "members")
+    alone = nodes.join(roots, "bits", "left_anti").withColumnRenamed("least", "component_id")
+    found = materialize(linked.select("bits", "n", "component_id").unionByName(alone.select("bits", "n", "component_id")), "components")
     out = lookup(signed, found, "bits", "n")
     return out.select("doc_id", F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id")
