@@ -25,7 +25,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hausprep.llm.common import fresh_name
+from hausprep.llm.common import fresh_name, lookup
+from hausprep.session import materialize
 
 LONG_WORDS = 50
 _FACTOR, _PRIME = 31, 2_147_483_647
@@ -111,28 +112,47 @@ def _run_spans(rows: DataFrame) -> DataFrame:
     return rows.select("*", F.array_union(starting, ending).alias("runs")).drop("solid", "from_end")
 
 
-def repeated_passages(docs: DataFrame) -> DataFrame:
-    """``id, text_hash, first, last`` of the runs of lines to remove, for ``docs(id, text)``.
+def _with_chunks(rows: DataFrame) -> DataFrame:
+    """Adds ``chunks``: the spans of the chunks that may be removed, like ``runs``, for ``lines``."""
+    given = rows.columns
+    rows = _with_ends(rows)
+    span = lambda a, b: F.shiftleft(a.cast("long"), 31).bitwiseOR(b.cast("long"))
+    spans = F.zip_with(F.concat(F.array(F.lit(0)), "ends"), F.concat("ends", F.array(F.size("lines"))), lambda a, b: F.struct(
+        span(a, b).alias("span"), F.slice("lines", a + 1, b - a).alias("own")))
+    solid = lambda own: F.size(F.filter(own, lambda x: F.length(F.trim(x)) > 0))
+    spans = F.filter(spans, lambda s: (solid(s["own"]) >= 2) | ((F.size(s["own"]) == 1) & _is_long(F.element_at(s["own"], 1))))
+    return rows.select(*given, F.transform(spans, lambda s: s["span"]).alias("chunks"))
+
 
-    The first occurrence is that of the lowest id, then line, then text hash.  Occurrences that overlap it stay."""
+def repeated_spans(docs: DataFrame) -> DataFrame:
+    """``id, text_hash, first, last`` of the chunks and runs of lines to remove, for ``docs(id, text)``.
+
+    The first occurrence is that of the lowest id, then line, then text hash.  Occurrences that overlap it stay.
+
+    Only a hash and a place are sent for each span; texts meet only for spans whose hash repeats, read again
+    from their documents.  No span is grouped or joined by a hash that many rows share: hashes are counted within
+    each task before they meet, and the frequent ones are looked up by broadcast."""
     docs = docs.where(F.col("id").isNotNull() & F.col("text").isNotNull()).withColumn("text_hash", F.xxhash64("text"))
-    rows = _run_spans(docs.withColumn("lines", F.split("text", "\n", -1)))
+    rows = _with_chunks(_run_spans(docs.withColumn("lines", F.split("text", "\n", -1))))
     first, last = (lambda s: F.shiftright(s, 31).cast("int")), (lambda s: s.bitwiseAND(F.lit((1 << 31) - 1)).cast("int"))
     own = lambda lines, s: F.array_join(F.slice(lines, first(s) + 1, last(s) - first(s)), "\n")
-    hashed = F.transform("runs", lambda s: F.struct(s.alias("span"), F.xxhash64(own(F.col("lines"), s)).alias("hash")))
-    found = rows.select("id", "text_hash", F.explode(hashed).alias("r")).select("id", "text_hash", "r.*")
-    often = found.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).select("hash")
-    spans = found.join(often, "hash").groupBy("id", "text_hash").agg(F.collect_set("span").alias("spans"))
-    # Only of documents with such runs are the runs' texts made.
+    hashed = F.transform(F.array_union("chunks", "runs"), lambda s: F.struct(s.alias("span"), F.xxhash64(own(F.col("lines"), s)).alias("hash")))
+    found = materialize(rows.select("id", "text_hash", F.explode(hashed).alias("r")).select("id", "text_hash", "r.*"), "spans")
+    often = materialize(found.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1), "span_hashes")
+    spans = lookup(found, often, "hash", "n", how="inner").groupBy("id", "text_hash").agg(F.collect_set("span").alias("spans"))
+    # Only of documents with such spans are the texts made.
     rows = docs.join(spans, ["id", "text_hash"]).withColumn("lines", F.split("text", "\n", -1))
-    pieces = F.transform("spans", lambda s: F.struct(first(s).alias("first"), last(s).alias("last"), own(F.col("lines"), s).alias("piece")))
+    pieces = F.transform("spans", lambda s: F.struct(s.alias("span"), own(F.col("lines"), s).alias("piece")))
     found = rows.select("id", "text_hash", F.explode(pieces).alias("p")).select("id", "text_hash", "p.*")
-    found = found.withColumn("digest", F.md5("piece")).withColumn("place", F.struct("id", "first", "text_hash", "last"))
-    same = found.groupBy("digest", "piece").agg(F.min("place").alias("kept"))
-    same = same.groupBy("digest").agg(F.count(F.lit(1)).alias("texts"), F.min("kept").alias("kept")).where(F.col("texts") == 1)
-    overlaps = (F.col("id") == F.col("kept.id")) & (F.col("text_hash") == F.col("kept.text_hash")) & (F.col("first") < F.col("kept.last"))
-    return found.drop("piece").join(same, "digest").where((F.col("place") != F.col("kept")) & ~overlaps) \
-        .select("id", "text_hash", "first", "last")
+    place = F.struct("id", first(F.col("span")).alias("first"), "text_hash", last(F.col("span")).alias("last"))
+    found = materialize(found.select(F.md5("piece").alias("digest"), "piece", place.alias("place")), "pieces")
+    same = found.groupBy("digest", "piece").agg(F.count(F.lit(1)).alias("n"), F.min("place").alias("kept"))
+    same = same.groupBy("digest").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("texts"), F.min("kept").alias("kept"))
+    same = materialize(same.where((F.col("n") > 1) & (F.col("texts") == 1)), "span_digests")
+    found = lookup(found.drop("piece"), same, "digest", "n", how="inner")
+    overlaps = (F.col("place.id") == F.col("kept.id")) & (F.col("place.text_hash") == F.col("kept.text_hash")) \
+        & (F.col("place.first") < F.col("kept.last"))
+    return found.where((F.col("place") != F.col("kept")) & ~overlaps).select("place.*")
 
 
 def dedup_lines(docs: DataFrame, lines: str | None = None, removed: str | None = None, passages: bool = False) -> DataFrame:
@@ -146,9 +166,7 @@ def dedup_lines(docs: DataFrame, lines: str | None = None, removed: str | None =
     """
     key, hashed, gone = (fresh_name(docs, c) for c in ("key__", "hash__", "gone__"))
     read = docs.select(docs["doc_id"].cast("long").alias("id"), docs["text"].alias("text"))
-    cut = repeated_chunks(read)
-    if passages:
-        cut = cut.unionByName(repeated_passages(read))
+    cut = (materialize(repeated_spans(read), "cuts") if passages else repeated_chunks(read))
     cut = cut.groupBy("id", "text_hash").agg(F.array_sort(F.collect_set(F.struct("first", "last"))).alias(gone))
     if passages:      # these overlap: spans of one line each instead
         numbers = F.flatten(F.transform(gone, lambda s: F.sequence(s["first"], s["last"] - 1)))
