@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hausprep.llm.common import in_pieces, pick, record, words_of
+from hausprep.llm.common import fresh_name, in_pieces, pick, record, words_of
 from hausprep.llm.components import connected_components
 from hausprep.session import materialize
 
@@ -337,14 +337,17 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS,
 
 
 def dedup(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """``docs`` with one document of each class: the one with the least id.  Rows of a null id stay."""
+    """``docs`` with one document of each class: the one with the least id.
+
+    Of rows that repeat both id and text one stays.  Rows that share an id but hold different texts are no near duplicates
+    for that: a text goes only if it is in a class with a smaller id.  Rows of a null id stay."""
     found = classes(docs, similarity)
-    extra = found.where("doc_id <> class_id").select(
-        F.col("doc_id").alias("near_id__"), F.col("text_hash").alias("near_hash__")).distinct()
-    kept = docs.join(extra.hint("merge"), (docs["doc_id"].cast("long") == F.col("near_id__"))
-                     & (F.xxhash64(docs["text"]) == F.col("near_hash__")), "left_anti")
-    again = found.where("doc_id = class_id").groupBy("doc_id").count().where("count > 1")
+    key, hashed = fresh_name(docs, "near_id__"), fresh_name(docs, "near_hash__")
+    extra = found.where("doc_id <> class_id").select(F.col("doc_id").alias(key), F.col("text_hash").alias(hashed)).distinct()
+    own_id, text_hash = docs["doc_id"].cast("long"), F.xxhash64(docs["text"])
+    kept = docs.join(extra.hint("merge"), (own_id == F.col(key)) & (text_hash == F.col(hashed)), "left_anti")
+    again = found.where("doc_id = class_id").groupBy("doc_id", "text_hash").count().where("count > 1")
     if again.isEmpty():
         return kept
-    return kept.where(docs["doc_id"].isNotNull()).dropDuplicates(["doc_id"]) \
-        .unionByName(kept.where(docs["doc_id"].isNull()))
+    named = kept.where(docs["doc_id"].isNotNull()).withColumns({key: own_id, hashed: text_hash})
+    return named.dropDuplicates([key, hashed]).drop(key, hashed).unionByName(kept.where(docs["doc_id"].isNull()))
