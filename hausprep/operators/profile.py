@@ -152,16 +152,16 @@ def _as_text(df: DataFrame, name: str) -> Column:
     return c.cast("string")
 
 
-def describe_categorical(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Count, number of distinct values, most frequent value (ties: the
-    smallest) and its frequency, per column, missing values excluded.
-
-    One unpivot and two partial aggregates: no group is ever gathered, a
-    value filling a third of the rows is a single counter."""
+def value_frequencies(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``column_name, value, freq`` of all present values, as text: one unpivot and a partial aggregate."""
     stacked = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column_name"), _as_text(df, c).alias("value"))
         for c in columns])).alias("s")).select("s.*").where(F.col("value").isNotNull())
-    freq = stacked.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("freq"))
+    return stacked.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("freq"))
+
+
+def summarise_frequencies(freq: DataFrame) -> DataFrame:
+    """A8 from :func:`value_frequencies`."""
     return freq.groupBy("column_name").agg(
         F.sum("freq").cast("bigint").alias("count"),
         F.count(F.lit(1)).alias("unique"),
@@ -170,6 +170,15 @@ def describe_categorical(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
+def describe_categorical(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Count, number of distinct values, most frequent value (ties: the
+    smallest) and its frequency, per column, missing values excluded.
+
+    One unpivot and two partial aggregates: no group is ever gathered, a
+    value filling a third of the rows is a single counter."""
+    return summarise_frequencies(value_frequencies(df, columns))
+
+
 def quantiles(df: DataFrame, column: str, probabilities: Sequence[float] = (0.25, 0.75), *,
               names: Sequence[str] | None = None) -> DataFrame:
     """A10: exact quantiles (linear interpolation) of one column."""

@@ -27,21 +27,60 @@ def distinct_rows(df: DataFrame, canonical_numeric: Iterable[str] = ()) -> DataF
     Spark plans this as a partial hash aggregate before the shuffle, so a
     value repeated a billion times crosses the network at most once per map
     task.  ``canonical_numeric`` names text columns whose numeric spelling
-    should not matter (see :func:`canonical_numbers`)."""
-    return canonical_numbers(df, canonical_numeric).dropDuplicates()
+    should not matter (see :func:`numeric_key`): rows that are equal but for it
+    become one row, the least of them in these columns, its text as it was.
+    Rows are then grouped by their hash first, so that the sort which
+    a kept text needs compares one number."""
+    numeric = [c for c in df.columns if c in set(canonical_numeric)]
+    if not numeric:
+        return df.dropDuplicates()
+    keys = [numeric_key(qcol(c)) if c in numeric else qcol(c) for c in df.columns]
+    keyed = df.select(*[k.alias(f"k{i}") for i, k in enumerate(keys)], F.struct(*[qcol(c).alias(f"t{i}") for i, c in enumerate(numeric)]).alias("text"))
+    names = keyed.columns[:-1]
+    kept = keyed.groupBy(F.xxhash64(*names).alias("row_hash"), *names).agg(F.min("text").alias("text"))
+    return kept.select(*[(F.col(f"text.t{numeric.index(c)}") if c in numeric else F.col(f"k{i}")).alias(c) for i, c in enumerate(df.columns)])
+
+
+_DIGITS = 40
+_DECIMAL = r"^(?=\.?[0-9])[0-9]{0,%d}(\.[0-9]{0,%d})?$" % (_DIGITS, _DIGITS)
+_NUMBER = r"^([+-]?)(?=\.?[0-9])([0-9]*)(?:\.([0-9]*))?(?:[eE]([+-]?[0-9]{1,9}))?$"
+
+
+def _spelled(p: Column) -> Column:
+    """``sign``, ``digits`` and ``power`` of ten as a number, written out if it is not too long."""
+    digits, power, n = p["digits"], p["power"], F.length(p["digits"])
+    out = F.when((power >= 0) & (n + power <= 2 * _DIGITS), F.rpad(digits, n + power, F.lit("0"))) \
+        .when((power < 0) & (n + power > 0) & (n <= 2 * _DIGITS), F.concat(F.left(digits, n + power), F.lit("."), F.right(digits, -power))) \
+        .when((power < 0) & (n + power <= 0) & (power >= -_DIGITS), F.concat(F.lit("0."), F.lpad(digits, -power, F.lit("0")))) \
+        .otherwise(F.concat(digits, F.lit("e"), power))
+    return F.when(digits == "", "0").when(p["sign"] == "-", F.concat(F.lit("-"), out)).otherwise(out)
+
+
+def numeric_key(text: Column) -> Column:
+    """One spelling for equal decimal numbers: ``3``, ``3.0``, ``+3``, ``03.`` and ``0.3e1`` give ``3``, ``.5`` gives ``0.5``,
+    ``1e3`` gives ``1000``.  Digits are handled as text, so numbers of any length and precision stay apart;
+    other text is its own key.  Plain integers, the most frequent case, are recognised without a regular expression."""
+    zero, point = F.lit("0"), F.lit(".")
+    odd = F.contains(text, point) | F.contains(text, F.lit("e")) | F.contains(text, F.lit("E")) | F.startswith(text, zero) \
+        | F.startswith(text, F.lit("+")) | F.startswith(text, F.lit("-")) | (F.octet_length(text) > _DIGITS)
+    # Digits and a point: zeros at both ends go.
+    short = F.ltrim(F.when(F.contains(text, point), F.rtrim(F.rtrim(text, zero), point)).otherwise(text), zero)
+    short = F.when((short == "") | F.startswith(short, point), F.concat(zero, short)).otherwise(short)
+    # Any other number, in steps whose values are named by a lambda, so that none is worked out twice.
+    let = lambda value, f: F.transform(F.array(value), f)[0]
+    part = lambda k: F.regexp_extract(text, _NUMBER, k)
+    parts = F.struct(part(1).alias("sign"), F.ltrim(F.concat(part(2), part(3)), zero).alias("whole"), F.length(part(3)).alias("places"),
+                     F.coalesce(part(4).try_cast("int"), F.lit(0)).alias("exponent"))
+    # The digits without zeros at both ends, and the power of ten of the last one.
+    stripped = lambda p: F.struct(p["sign"].alias("sign"), F.rtrim(p["whole"], zero).alias("digits"), (
+        p["exponent"] - p["places"] + F.length(p["whole"]) - F.length(F.rtrim(p["whole"], zero))).alias("power"))
+    signed = let(let(parts, stripped), _spelled)
+    return F.when(~odd, text).when(text.rlike(_DECIMAL), short).when(text.rlike(_NUMBER), signed).otherwise(text)
 
 
 def canonical_numbers(df: DataFrame, columns: Iterable[str]) -> DataFrame:
-    """Text columns with one spelling for equal plain decimals: ``3``, ``3.0``, ``+3`` and ``03.`` all
-    become ``3``.  Only digits are handled, as text, so integers and fractions of any length stay exact;
-    other text (exponents too) stays as it is."""
-    def one(c: str) -> Column:
-        text = qcol(c)
-        short = F.when(F.contains(text, F.lit(".")), F.rtrim(F.rtrim(text, F.lit("0")), F.lit("."))).otherwise(text)
-        short = F.regexp_replace(short, r"^(?:\+|(-))?0*(?=\d)", "$1")
-        short = F.when(short == "-0", F.lit("0")).otherwise(short)
-        return F.when(text.rlike(r"^[+-]?[0-9]+(\.[0-9]*)?$"), short).otherwise(text)
-    found = {c: one(c) for c in columns}
+    """Text columns replaced by their :func:`numeric_key`."""
+    found = {c: numeric_key(qcol(c)) for c in columns}
     return df.withColumns(found) if found else df
 
 
@@ -63,14 +102,17 @@ def _canonical(c: str, dt: T.DataType) -> Column:
 
 
 def fingerprint_exprs(df: DataFrame) -> list[Column]:
-    """Pass 1 of U3 as aggregate expressions (``h<i>``, ``n<i>`` per column).
+    """Pass 1 of U3 as aggregate expressions (``h<i>``, ``s<i>``, ``n<i>`` per column).
     They can also ride along another job, e.g. ``DataFrame.observe`` on the
     write that materialises the frame, so pass 1 costs no scan of its own."""
     fields = list(df.schema.fields)
     row_hash = F.xxhash64(*[qcol(f.name) for f in fields])
     aggs = []
     for i, f in enumerate(fields):
-        aggs.append(F.bit_xor(F.xxhash64(row_hash, _canonical(f.name, f.dataType))).alias(f"h{i}"))
+        value_hash = F.xxhash64(row_hash, _canonical(f.name, f.dataType))
+        aggs.append(F.bit_xor(value_hash).alias(f"h{i}"))
+        # Rows that occur an even number of times cancel out above, not in a sum; of 24 bits each, 2 ** 40 rows fit a bigint.
+        aggs.append(F.sum(F.shiftright(value_hash, 40)).alias(f"s{i}"))
         aggs.append(F.count_if(qcol(f.name).isNull()).alias(f"n{i}"))
     return aggs
 
@@ -84,7 +126,7 @@ def duplicate_columns(df: DataFrame, protect: Iterable[str] = (), *, fingerprint
     protected column is removed instead.
 
     Pass 1 is a single aggregate: per column an order-insensitive
-    fingerprint ``bit_xor(xxhash64(row_hash, value))`` plus its null count.
+    fingerprint (``bit_xor`` and a sum of ``xxhash64(row_hash, value)``) plus its null count.
     Equal columns always get equal fingerprints, so only columns sharing a
     fingerprint need pass 2, an exact ``bool_and(a <=> b)`` of each with
     one of them.  Only one row of per-column numbers reaches the driver.
@@ -97,7 +139,7 @@ def duplicate_columns(df: DataFrame, protect: Iterable[str] = (), *, fingerprint
 
     groups: dict[tuple, list[int]] = {}
     for i, f in enumerate(fields):
-        key = (_family(f.dataType), prints[f"h{i}"], prints[f"n{i}"])
+        key = (_family(f.dataType), prints[f"h{i}"], prints[f"s{i}"], prints[f"n{i}"])
         groups.setdefault(key, []).append(i)
     # Equality is transitive: members are held against one of them, and those that differ form a new group.
     open_groups = [m for m in groups.values() if len(m) > 1]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from hausprep.functions.tokens import contains_any, has_any, tokens_vocab
 from hausprep.operators.common import qcol
-from hausprep.session import materialize
+from hausprep.session import materialize, materialize_observed
 
 # Size limits for moving a derived vocabulary (checked before any transfer).
 LITERAL_MAX_TERMS = 10_000
@@ -45,21 +45,20 @@ def garage_vocab(
     """V2: lower-cased tokens of the union of the columns' vocabularies that
     contain any keyword as a substring, without the excluded term (every
     case variant of it)."""
-    tokens = None
-    for c in columns:
-        part = (df.where(qcol(c).isNotNull())
-                .select(F.explode(tokens_vocab(qcol(c))).alias(name)))
-        tokens = part if tokens is None else tokens.unionByName(part)
-    lowered = tokens.select(F.lower(F.col(name)).alias(name))
+    # All columns in one scan; a null cell has no tokens.
+    none = F.array().cast("array<string>")
+    tokens = F.concat(*[F.coalesce(tokens_vocab(qcol(c)), none) for c in columns])
+    lowered = df.select(F.explode(tokens).alias(name)).select(F.lower(F.col(name)).alias(name))
     return (lowered.where(contains_any(F.col(name), keywords) & (F.col(name) != F.lit(excluded.lower())))
             .distinct())
 
 
-def vocab_size(terms: DataFrame, column: str = "term") -> tuple[int, int]:
-    """(number of terms, total UTF-8 bytes) of a vocabulary frame."""
-    row = terms.agg(F.count(F.lit(1)).alias("n"),
-                    F.coalesce(F.sum(F.octet_length(F.col(column))), F.lit(0)).alias("b")).first()
-    return int(row["n"]), int(row["b"])
+def measured(terms: DataFrame, column: str = "term") -> tuple[DataFrame, int, int]:
+    """A vocabulary written once to the shared checkpoint folder, its number of terms and their UTF-8 bytes, both
+    observed in that write."""
+    terms = terms.select(F.col(column)).where(F.col(column).isNotNull())
+    written, size = materialize_observed(terms, [F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(F.col(column))).alias("b")], "vocabulary")
+    return written, int(size["n"]), int(size["b"] or 0)
 
 
 def flag_membership(
@@ -76,8 +75,8 @@ def flag_membership(
     of that array occur in the vocabulary ``terms``?
 
     ``keys``: the ``token_key`` of token arrays that hold no ``,`` (T3, T4).
-    The vocabulary is data-derived, so its size is measured first; the size
-    only chooses how the same answer is reached:
+    The vocabulary is data-derived, so it is written once and its size observed in
+    that write; nothing is collected before.  The size only chooses how the same answer is reached:
 
     * ``literal`` - small (<= 10k terms, <= 1 MiB): inlined as a constant
       set, no join at all;
@@ -93,22 +92,16 @@ def flag_membership(
     in the shared checkpoint folder, so it is stable if executors are lost
     and stages re-run.
     """
-    values = None
-    if strategy in ("auto", "literal"):
-        # One bounded job: never more than LITERAL_MAX_TERMS + 1 rows move.
-        probe = [r[0] for r in terms.select(term_column).limit(LITERAL_MAX_TERMS + 1).collect()]
-        small = (len(probe) <= LITERAL_MAX_TERMS
-                 and sum(len(t.encode()) for t in probe if t is not None) <= LITERAL_MAX_BYTES)
-        if small:
-            values, strategy = sorted(t for t in probe if t is not None), "literal"
-        elif strategy == "literal":
-            raise ValueError("vocabulary too large to inline")
+    terms, n_terms, n_bytes = measured(terms, term_column)
+    small = n_terms <= LITERAL_MAX_TERMS and n_bytes <= LITERAL_MAX_BYTES
+    if strategy == "literal" and not small:
+        raise ValueError("vocabulary too large to inline")
     if strategy == "auto":
-        n_terms, n_bytes = vocab_size(terms, term_column)
-        strategy = ("broadcast" if n_terms <= BROADCAST_MAX_TERMS and n_bytes <= BROADCAST_MAX_BYTES
-                    else "shuffle")
+        strategy = ("literal" if small else
+                    "broadcast" if n_terms <= BROADCAST_MAX_TERMS and n_bytes <= BROADCAST_MAX_BYTES else "shuffle")
 
     if strategy == "literal":
+        values = sorted(r[0] for r in terms.collect())
         return df.withColumns({flag: has_any(tok, values, key=(keys or {}).get(flag)) for flag, tok in token_columns.items()})
 
     rid = "__row_id"

@@ -16,10 +16,10 @@ from collections.abc import Sequence
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from hausprep.operators.profile import null_counts, rows_per_source
+from hausprep.operators.profile import null_counts
 from hausprep.plans.listings import ListingColumns, ListingOutput, clean_listings
 from hausprep.plans.quality import quality_report
-from hausprep.session import materialize
+from hausprep.session import materialize, materialize_observed, scratch_scope
 from hausprep.sinks.files import write_csv_dated
 from hausprep.sources.files import scan_regions
 from hausprep.vocabularies import REGION_CODES
@@ -39,10 +39,19 @@ def daily_run(
 ) -> dict:
     """Run the daily job; return a report with the output path, missing
     region files, rows per region, final rows, null counts and the quality
-    report (all small values)."""
+    report (all small values).  Intermediate tables are deleted at the end, also
+    after a failure."""
+    with scratch_scope(spark):
+        return _daily(spark, landing_dir, out_dir, codes, cols, out, date, prefix, multi_line)
+
+
+def _daily(spark, landing_dir, out_dir, codes, cols, out, date, prefix, multi_line) -> dict:
     scan = scan_regions(spark, landing_dir, codes, multi_line=multi_line)
-    raw_rows = {r["source"]: r["rows"] for r in rows_per_source(scan.frame, "source").collect()}
-    raw = scan.frame.drop("source")
+    # The files are parsed once; rows per region are counted in the same write.
+    regions = [F.count_if(F.col("source") == code).alias(code) for code in codes]
+    raw, counted = materialize_observed(scan.frame, regions, "daily_raw")
+    raw_rows = {code: n for code, n in counted.items() if n}
+    raw = raw.drop("source")
     cleaned = materialize(clean_listings(raw, cols, out), "daily_clean")
     path = write_csv_dated(cleaned, out_dir, prefix=prefix, date=date)
     critical = [out.price, out.bedrooms, out.bathrooms, out.square_footage]

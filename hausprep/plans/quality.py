@@ -5,16 +5,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hausprep.operators.common import qcol
 from hausprep.operators.filters import drop_incomplete
 from hausprep.operators.profile import (
     _missing,
-    describe_categorical,
+    describe_numeric,
     iqr_fences,
     schema_info,
+    summarise_frequencies,
+    value_frequencies,
 )
 from hausprep.operators.setops import canonical_numbers, distinct_columns, fingerprint_exprs
 from hausprep.plans.listings import (
@@ -26,28 +29,31 @@ from hausprep.plans.listings import (
     load_stage,
     numeric_text,
 )
-from hausprep.session import materialize, materialize_observed
+from hausprep.session import materialize, materialize_observed, scratch_scope
 
 
 def quality_report(df: DataFrame, critical: Sequence[str], value: str, *, factor: float = 1.5) -> DataFrame:
     """One row - missing values per critical column, IQR fences of
     ``value``, the number of rows outside them, and a warning flag.
     Warnings are data, the run always continues."""
-    # Two passes read these few columns; what made them runs once.
-    df = materialize(df.select(*[qcol(c) for c in dict.fromkeys([*critical, value])]), "quality")
-    nulls = [F.count_if(_missing(df, c)).alias(f"nulls_{c}") for c in critical]
-    f = iqr_fences(df, value, factor=factor)
-    outside = F.lit(False) if f["lower"] is None else (
-        (qcol(value) < F.lit(f["lower"])) | (qcol(value) > F.lit(f["upper"])))
-    row = df.agg(*nulls, F.count_if(outside).alias("outliers"))
-    any_null = F.lit(False)
-    for c in critical:
-        any_null = any_null | (F.col(f"nulls_{c}") > 0)
-    return row.select(
-        *[F.col(f"nulls_{c}") for c in critical],
-        *[F.lit(f[k]).cast("double").alias(k) for k in ("q1", "q3", "lower", "upper")], "outliers",
-        (any_null | (F.col("outliers") > 0)).alias("warning"),
-    )
+    # A few passes read these few columns; what made them runs once, and the table goes at the end.
+    spark = df.sparkSession
+    with scratch_scope(spark):
+        df = materialize(df.select(*[qcol(c) for c in dict.fromkeys([*critical, value])]), "quality")
+        nulls = [F.count_if(_missing(df, c)).alias(f"nulls_{c}") for c in critical]
+        f = iqr_fences(df, value, factor=factor)
+        outside = F.lit(False) if f["lower"] is None else (
+            (qcol(value) < F.lit(f["lower"])) | (qcol(value) > F.lit(f["upper"])))
+        row = df.agg(*nulls, F.count_if(outside).alias("outliers"))
+        any_null = F.lit(False)
+        for c in critical:
+            any_null = any_null | (qcol(f"nulls_{c}") > 0)
+        report = row.select(
+            *[qcol(f"nulls_{c}") for c in critical],
+            *[F.lit(f[k]).cast("double").alias(k) for k in ("q1", "q3", "lower", "upper")], "outliers",
+            (any_null | (F.col("outliers") > 0)).alias("warning"),
+        )
+        return spark.createDataFrame(report.collect(), report.schema)
 
 
 def stage_metrics(frames, cols: ListingColumns = ListingColumns(),
@@ -62,7 +68,15 @@ def stage_metrics(frames, cols: ListingColumns = ListingColumns(),
     aggregate (written once if there is a source column), so the raw input
     is read once; the number of distinct rows and U3's fingerprints are
     observed during the write of the deduplicated rows.  Both are result
-    stages, so the values are exact even when tasks are retried."""
+    stages, so the values are exact even when tasks are retried.  The few rows are
+    worked out at once, and the intermediate tables deleted."""
+    spark = (frames if isinstance(frames, DataFrame) else frames[0]).sparkSession
+    with scratch_scope(spark):
+        result = _stage_metrics(frames, cols, out, source_column)
+        return spark.createDataFrame(result.collect(), result.schema)
+
+
+def _stage_metrics(frames, cols: ListingColumns, out: ListingOutput, source_column: str | None) -> DataFrame:
     raw = load_stage(frames)
     by_source = source_column is not None and source_column in raw.columns
     raw = canonical_numbers(raw, numeric_text(raw, cols))
@@ -103,19 +117,35 @@ def stage_metrics(frames, cols: ListingColumns = ListingColumns(),
     return result
 
 
-def profile_table(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """One row per column - type, non-null and missing counts, distinct
-    values (missing counted once), most frequent value and its count.
+def profile_table(df: DataFrame, columns: Sequence[str] | None = None, *, top_n: int = 5) -> DataFrame:
+    """One row per column - type, non-null and missing counts, distinct values (missing counted
+    once), the most frequent value and its count (A8), the ``top_n`` most frequent values with their
+    counts (A2, ties: the smallest value first), and for numeric columns mean, sample standard deviation,
+    minimum, quartiles and maximum (A7), null for others.
 
-    Two passes: one aggregate for the counts of every column, and the
-    grouped ``(column, value)`` counts of A8, which also give the number of
-    distinct values (so no per-column ``count(DISTINCT)`` expansion)."""
+    The grouped ``(column, value)`` counts are made once and give distinct values, top and top-N (so no
+    per-column ``count(DISTINCT)`` expansion, and no column's values are sorted: a task passes on
+    its ``top_n`` best of each column); counts of all columns are one aggregate, and A7's another
+    with its brackets."""
     cols = list(columns) if columns is not None else df.columns
-    info = schema_info(df.select(*[qcol(c) for c in cols]), with_rows=True)   # pass 1
-    cat = describe_categorical(df, cols)                                       # pass 2
+    df = df.select(*[qcol(c) for c in cols])
+    info = schema_info(df, with_rows=True)
+    counts = value_frequencies(df, cols)
+    best = Window.partitionBy("column_name").orderBy(F.desc("freq"), "value")
+    top = counts.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top_n).groupBy("column_name").agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("rank", "value", "freq"))),
+                    lambda s: F.struct(s["value"].alias("value"), s["freq"].alias("freq"))).alias("top_values"))
+    cat = summarise_frequencies(counts)
+    numeric = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
+    stats = ["mean", "std", "min", "p25", "p50", "p75", "max"]
+    if numeric:
+        described = describe_numeric(df, numeric).select("column_name", *stats)
+    else:
+        described = df.sparkSession.createDataFrame([], ", ".join(["column_name string", *[f"{c} double" for c in stats]]))
     nulls = (F.col("rows") - F.col("non_null")).alias("nulls")
     return (info.join(cat.select("column_name", "unique", "top", "freq"), "column_name", "left")
+            .join(top, "column_name", "left").join(described, "column_name", "left")
             .select("ordinal", "column_name", "data_type", "non_null", nulls,
                     (F.coalesce(F.col("unique"), F.lit(0))
                      + F.when(F.col("rows") > F.col("non_null"), 1).otherwise(0)).cast("bigint").alias("n_distinct"),
-                    "top", "freq"))
+                    "top", "freq", "top_values", *stats))

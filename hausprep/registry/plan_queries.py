@@ -5,11 +5,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from hausprep.operators.filters import cast_numeric
 from hausprep.plans.listings import clean_listings
 from hausprep.plans.quality import profile_table, quality_report, stage_metrics
 from hausprep.registry.core import register
 from hausprep.registry.fixtures import (
-    LISTING_COLUMN_NAMES,
     LISTING_CTE,
     VIEW_COLUMNS,
     VIEW_OUTPUT,
@@ -17,6 +17,7 @@ from hausprep.registry.fixtures import (
     listing_view,
 )
 from hausprep.registry.listing_queries import cleaned_listing_sql
+from hausprep.registry.table_queries import CAST_COLS
 
 FINAL = ["listing_id", "city", "province", "price", "bedrooms", "bathrooms", "acreage", "square_footage", "garage",
          "parking", "basement", "exterior", "fireplace", "heating", "flooring", "roof", "waterfront", "sewer", "pool",
@@ -71,22 +72,36 @@ def q_stage_metrics(spark, sf):
     return stage_metrics(frames, VIEW_COLUMNS, VIEW_OUTPUT, source_column="source")
 
 
+PROFILED = ["listing_id", "address_locality", "garage", "basement", "features", *CAST_COLS]
+TOP_N = 5
+
+
 def _profile_sql():
+    casts = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" if c in CAST_COLS else c for c in PROFILED)
     parts = []
-    for i, c in enumerate(LISTING_COLUMN_NAMES):
-        dtype = "bigint" if c == "listing_id" else "string"
+    for i, c in enumerate(PROFILED):
+        number = c in CAST_COLS or c == "listing_id"
+        dtype = "bigint" if c == "listing_id" else "double" if number else "string"
+        x = f"CAST({c} AS DOUBLE)" if number else "CAST(NULL AS DOUBLE)"
         parts.append(f"""
 SELECT {i} AS ordinal, '{c}' AS column_name, '{dtype}' AS data_type, count({c}) AS non_null,
        CAST(count_if({c} IS NULL) AS BIGINT) AS nulls,
        CAST(count(DISTINCT {c}) + max(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS n_distinct,
-       (SELECT CAST({c} AS VARCHAR) FROM listings WHERE {c} IS NOT NULL GROUP BY {c}
-        ORDER BY count(*) DESC, CAST({c} AS VARCHAR) LIMIT 1) AS top,
-       (SELECT count(*) FROM listings WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY count(*) DESC LIMIT 1) AS freq
-FROM listings""")
-    return f"WITH {LISTING_CTE} " + " UNION ALL ".join(parts)
+       (SELECT value FROM top_{c} WHERE rank = 1) AS top, (SELECT freq FROM top_{c} WHERE rank = 1) AS freq,
+       (SELECT string_agg(value || ' x' || freq, ' | ' ORDER BY rank) FROM top_{c}) AS top_values,
+       round(avg({x}), 6) AS mean, round(stddev_samp({x}), 6) AS std, min({x}) AS min, round(quantile_cont({x}, 0.25), 6) AS p25,
+       round(quantile_cont({x}, 0.5), 6) AS p50, round(quantile_cont({x}, 0.75), 6) AS p75, max({x}) AS max
+FROM profiled""")
+    tops = ", ".join(f"""top_{c} AS (
+  SELECT CAST({c} AS VARCHAR) AS value, count(*) AS freq, row_number() OVER (ORDER BY count(*) DESC, CAST({c} AS VARCHAR)) AS rank
+  FROM profiled WHERE {c} IS NOT NULL GROUP BY {c} QUALIFY rank <= {TOP_N})""" for c in PROFILED)
+    return f"WITH {LISTING_CTE}, profiled AS (SELECT {casts} FROM listings), {tops} " + " UNION ALL ".join(parts)
 
 
 @register("profile_table", _profile_sql())
 def q_profile_table(spark, sf):
-    """Per-column profile of the raw listing view."""
-    return profile_table(listing_view(spark, sf))
+    """Profile of text and numeric columns of the listing view."""
+    profile = profile_table(cast_numeric(listing_view(spark, sf).select(*PROFILED), CAST_COLS), top_n=TOP_N)
+    top = F.concat_ws(" | ", F.transform("top_values", lambda s: F.concat_ws(" x", s["value"], s["freq"].cast("string"))))
+    return profile.withColumn("top_values", F.when(F.col("top_values").isNotNull(), top)) \
+        .withColumns({c: F.round(c, 6) for c in ("mean", "std", "p25", "p50", "p75")})

@@ -9,6 +9,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -68,10 +71,36 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+#: Paths handed out within the innermost scope of this thread's context.
+_SCOPE: ContextVar[list[str] | None] = ContextVar("scratch_scope", default=None)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    scope = _SCOPE.get()
+    if scope is not None:
+        scope.append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end, also after a failure, what is written to the checkpoint folder within.
+
+    For a whole job that leaves its result elsewhere: a frame that still reads a materialised table must be
+    used or written before the end.  A scope within another one deletes only what it wrote itself."""
+    token = _SCOPE.set([])
+    try:
+        yield
+    finally:
+        paths = _SCOPE.get() or []
+        _SCOPE.reset(token)
+        jvm = spark.sparkContext._jvm
+        for path in paths:
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def materialize_observed(df: DataFrame, metrics: list, name: str = "stage"):

@@ -221,18 +221,44 @@ def test_listing_cast_modes(spark):
 
 
 def test_distinct_rows_numeric_spelling(spark):
-    df = spark.createDataFrame([("3", "a"), ("3.0", "a"), ("x", "a"), ("x", "a")], "n string, s string")
-    assert S.distinct_rows(df).count() == 3
-    assert S.distinct_rows(df, canonical_numeric=["n"]).count() == 2
+    rows = [("3", "a", "1"), ("3.0", "a", "1"), ("x", "a", None), ("x", "a", None), (".5", "b", "2"), ("0.5", "b", "02"), ("1e3", "c", "0"),
+            ("1000", "c", "-0"), (None, "d", "1"), (None, "d", "1"), ("9007199254740993", "e", "1"), ("9007199254740992", "e", "1")]
+    df = spark.createDataFrame(rows, "n string, `s.t` string, m string")
+    assert S.distinct_rows(df).count() == 10
+    out = S.distinct_rows(df, canonical_numeric=["n", "m"])
+    assert out.columns == df.columns
+    # a row's own text, and no row put together from two
+    assert sorted(map(tuple, out.collect()), key=str) == sorted([
+        ("3", "a", "1"), ("x", "a", None), (".5", "b", "2"), ("1000", "c", "-0"), (None, "d", "1"),
+        ("9007199254740993", "e", "1"), ("9007199254740992", "e", "1")], key=str)
 
 
 def test_canonical_numbers_are_exact(spark):
     texts = ["3", "3.0", "+3", "03.", "100", "-0.50", "-0", "0.0", "9007199254740992", "9007199254740993",
-             "12345678", "1e5", "", " 3", "3.0.0", None]
+             "12345678", "1e5", "", " 3", "3.0.0", None, ".", "-", "e5", "1e", "+.5", "5E-1", "nan", "1e400", "Infinity", "0x1"]
     df = spark.createDataFrame([(t,) for t in texts], "n string")
     assert [r[0] for r in S.canonical_numbers(df, ["n"]).collect()] == [
         "3", "3", "3", "3", "100", "-0.5", "0", "0", "9007199254740992", "9007199254740993",
-        "12345678", "1e5", "", " 3", "3.0.0", None]
+        "12345678", "100000", "", " 3", "3.0.0", None, ".", "-", "e5", "1e", "0.5", "0.5", "nan", "1e400", "Infinity", "0x1"]
+
+
+def test_numeric_keys_are_equal_for_equal_numbers(spark):
+    from decimal import Context, Decimal
+
+    rnd = random.Random(8)
+    texts = ["1" + "0" * 100, "1e100", "0." + "0" * 60 + "1", "1e-61", "1" * 41 + "." + "2" * 41, "1" * 45, "12" + "0" * 60, "12e60", "0.0e7"]
+    for _ in range(1500):
+        digits = "".join(rnd.choice("000123") for _ in range(rnd.choice([1, 2, 3, 45])))
+        at = rnd.randint(0, len(digits))
+        texts.append(rnd.choice(["", "", "+", "-"]) + digits[:at] + rnd.choice([".", ""]) + digits[at:] + rnd.choice(["", "", "e3", "E-2", "e+12", "e-50"]))
+    keys = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "n string").select(S.numeric_key(F.col("n"))).collect()]
+    exact = Context(prec=400)
+    by_value = {}
+    for t, k in zip(texts, keys):
+        assert Decimal(k) == Decimal(t)
+        v = Decimal(t).normalize(exact)
+        by_value.setdefault(v if v else 0, set()).add(k)
+    assert all(len(k) == 1 for k in by_value.values()) and len(by_value) > 100
 
 
 def test_fingerprints_observed_during_write_equal_aggregate(spark):
