@@ -8,7 +8,8 @@ and what is left of the gap is filled by cutting a rest.  Every window is
 therefore full.  What remains at the end of a task (less than one longest
 window) is laid out in windows of powers of two, which need no padding either.
 Windows of one tier are dealt to step groups of equal token count, the
-attention cost (sum of squared piece lengths) balanced between the groups.
+attention cost (sum of squared piece lengths) balanced between the groups; only a
+task's last group of a tier may be smaller.
 
 Each task packs the documents it reads, so nothing is shuffled and a lost task
 is repeated alone with the same result; it holds one block of pending tokens.
@@ -30,7 +31,7 @@ from hausprep.llm.common import in_pieces, pick, record
 TIERS = (256, 512, 1024, 2048)
 STEP_TOKENS = 32 * 2048        # tokens of a step group
 BLOCK_TOKENS = 1 << 19         # pending tokens that a task packs together
-MAX_RUNS, MAX_WORDS = 400_000, 200_000     # runs between white space, and words, whose ids a worker keeps
+MAX_RUNS, MAX_WORDS = 150_000, 250_000     # of a generation of runs between white space, and of words, whose ids a worker keeps
 
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
           "sequence_id long, offset long, tier long, step_group long")
@@ -38,9 +39,10 @@ _SCHEMA = pa.schema([(c.split()[0], pa.int64()) for c in PIECES.split(", ")])
 
 #: White space to Python's ``split`` but not to the tokenizer.
 _NO_SPACE = "\x1c\x1d\x1e\x1f"
-#: Runs of only these characters are split into words here, by the tokenizer's own pattern.
+#: Runs and texts of only these characters are split into words here, by the tokenizer's own pattern.
 _PLAIN = re.compile("[!-;=-~À-ÖØ-öø-įı-ɏ]+").fullmatch       # without "<", which begins special tokens
-_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+").findall
+_PLAIN_TEXT = re.compile("[\t-\r -;=-~À-ÖØ-öø-įı-ɏ]*").fullmatch
+_WORDS = re.compile(r"[^\W\d_]+|'(?:s|t|re|ve|m|ll|d)|\d|(?:[^\w\s]|_)+").findall
 
 
 def _byte_letters() -> dict[int, str]:
@@ -50,22 +52,33 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(other)}
 
 
-class _Words(dict):
-    """Ids by word; made when first asked for."""
+class _Known(dict):
+    """Ids by key, in two generations: when the younger one is full it becomes the older one, whose keys move on
+    when they are asked for again.  So what is used keeps its ids and what came once is forgotten."""
 
-    def __init__(self, make):
-        self.make = make
+    def __init__(self, make, size: int):
+        self.make, self.size, self.old = make, size, {}
 
-    def __missing__(self, word: str) -> bytes:
-        ids = self[word] = self.make(word)
+    def __missing__(self, key: str) -> bytes:
+        ids = self.old.get(key)
+        if ids is None:
+            ids = self.make(key)
+        self.keep(key, ids)
         return ids
 
+    def keep(self, key: str, ids: bytes) -> None:
+        if len(self) >= self.size:
+            self.old = dict(self)
+            self.clear()
+        self[key] = ids
+
 
 class WordIds:
     """Token ids of texts, as little-endian unsigned 32-bit bytes.
 
-    The tokenizer normalises and splits what stands between white space by itself, so ids are kept by
-    such run; words of plain runs go to the library's model, other runs through the whole library."""
+    The tokenizer normalises and splits what stands between white space by itself.  Texts of plain characters are split into
+    words at once, other texts into runs between white space: words, also those of plain runs, go to the library's
+    model, other runs through the whole library.  Ids are kept by word and by run."""
 
     def __init__(self, path: str):
         import os
@@ -75,37 +88,40 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model, self.letters = self.tokenizer.model, _byte_letters()
-        self.runs: dict[str, bytes] = {}
-        self.words = _Words(self._word)
+        self.words = _Known(self._word, MAX_WORDS)
+        self.plain_runs = _Known(self._plain_run, MAX_RUNS)
+        self.runs = _Known(lambda run: self._library([run])[0], MAX_RUNS)
         self.ids = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
         specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.plain = all(t.startswith("<") for t in specials) and all(self._library([t]) == [self._words(t)] for t in _TRIAL)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        odd = {i for i, t in enumerate(texts) if any(c in t for c in _NO_SPACE)}
-        split = [() if i in odd else t.split() for i, t in enumerate(texts)]
-        known = self.runs
-        new = set().union(*split) - known.keys()
-        if len(known) + len(new) > MAX_RUNS:
-            known.clear()
-            new = set().union(*split)
-        if len(self.words) > MAX_WORDS:
-            self.words.clear()
-        strange = []
-        for run in new:
-            if self.plain and _PLAIN(run):
-                known[run] = self._words(run)
-            else:
-                strange.append(run)
-        known.update(zip(strange, self._library(strange)))
-        out = [b"".join(map(known.__getitem__, r)) for r in split]
-        for i, ids in zip(sorted(odd), self._library([texts[i] for i in sorted(odd)])):
+        out = [self._words(t) if self.plain and _PLAIN_TEXT(t) else None for t in texts]
+        whole = [i for i, ids in enumerate(out) if ids is None and any(c in texts[i] for c in _NO_SPACE)]
+        for i, ids in zip(whole, self._library([texts[i] for i in whole])):
             out[i] = ids
+        split = {i: texts[i].split() for i, ids in enumerate(out) if ids is None}
+        strange = {run for runs in split.values() for run in runs if not (self.plain and _PLAIN(run))}
+        new = [run for run in strange if run not in self.runs and run not in self.runs.old]
+        made = dict(zip(new, self._library(new)))                  # many at once
+        for run, ids in made.items():
+            self.runs.keep(run, ids)
+        for i, runs in split.items():
+            out[i] = b"".join([(made.get(r) or self.runs[r]) if r in strange else self.plain_runs[r] for r in runs])
         return out
 
-    def _words(self, run: str) -> bytes:
-        found = _WORDS(run.lower())
-        return self.words[found[0]] if len(found) == 1 else b"".join([self.words[w] for w in found])
+    def _words(self, text: str) -> bytes:
+        """Ids of a plain text."""
+        return b"".join(map(self.plain_runs.__getitem__, text.split()))
+
+    def _plain_run(self, run: str) -> bytes:
+        """Ids of a plain run; most are a word, or a word and a mark."""
+        run = run.lower()
+        if run.isalpha():
+            return self.words[run]
+        if run[:-1].isalpha() and run[-1] in ".,;:!?":
+            return self.words[run[:-1]] + self.words[run[-1]]
+        return b"".join([self.words[w] for w in _WORDS(run)])
 
     def _word(self, word: str) -> bytes:
         letters = word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
@@ -207,16 +223,19 @@ class Packer:
                 room -= piece[0]
             self._window(size, pieces)
         self.pending, self.pending_tokens = [], 0
-        self._flush()
+        self._flush(last=True)
 
     def _window(self, tier: int, pieces: list[tuple]) -> None:
         self.windows.setdefault(tier, []).append(pieces)
 
-    def _flush(self) -> None:
-        """Deal the windows of each tier to step groups, costliest first and back and forth."""
+    def _flush(self, last: bool = False) -> None:
+        """Deal the windows of each tier to full step groups, costliest first and back and forth; what does not fill a
+        group waits for the next flush, or is the tier's last group."""
         for tier, windows in sorted(self.windows.items()):
-            windows.sort(key=lambda w: -sum(p[0] * p[0] for p in w))
-            groups = -(-len(windows) // max(1, self.step_tokens // tier))
+            per_group = max(1, self.step_tokens // tier)
+            groups = -(-len(windows) // per_group) if last else len(windows) // per_group
+            self.windows[tier] = windows[groups * per_group:]
+            windows = sorted(windows[:groups * per_group], key=lambda w: -sum(p[0] * p[0] for p in w))
             for k, pieces in enumerate(windows):
                 lap, at = divmod(k, groups)
                 group = self.next_group + (at if lap % 2 == 0 else groups - 1 - at)
@@ -227,7 +246,6 @@ class Packer:
                     offset += length
                 self.next_sequence += 1
             self.next_group += groups
-        self.windows = {}
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, end_id: int | None = 1,

@@ -270,6 +270,45 @@ def test_packing_round_trip(spark, texts):
     assert len(pieces) == len(ids) and all(t & (t - 1) == 0 and t <= 2048 for t in totals)
 
 
+def test_step_groups_are_full():
+    """All groups of a tier hold the same tokens but the last, over many flushes; attention cost differs little between them."""
+    rnd = random.Random(7)
+    packer = packing.Packer(0, step_tokens=16 * 2048)
+    for i in range(3000):
+        packer.add(i, b"\0\0\0\0" * int(rnd.paretovariate(1.1) * 60))
+    packer.finish()
+    tokens, cost = defaultdict(int), defaultdict(int)
+    for _, _, length, _, _, _, _, tier, group in packer.rows:
+        tokens[tier, group] += length
+        cost[tier, group] += length * length
+    for tier in packing.TIERS:
+        groups = sorted(g for t, g in tokens if t == tier)
+        assert len(groups) > 1 or tier > 256
+        assert all(tokens[tier, g] == 16 * 2048 for g in groups[:-1])
+    full = [cost[k] for k in cost if k[0] == 2048 and tokens[k] == 16 * 2048]
+    assert max(full) < 1.5 * min(full)
+
+
+def test_word_ids_equal_the_library(texts):
+    from tokenizers import Tokenizer
+
+    path = queries.tokenizer_path("word_bpe_49k.json")
+    rnd = random.Random(1)
+    samples = [t or "" for t in texts.values()]
+    for alphabet in (" \n\t'srtvemldSLREVM019.,!_-é ßŒȺǅǲİı漢 \x1c\x85 ́🙂<|>½²\x0b\x0c~@#", "abcXYZ'stl S.,;é_0\nÀÖØȺɏ"):
+        samples += ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 60))) for _ in range(5000)]
+    want = [b"".join(i.to_bytes(4, "little") for i in e.ids) for e in Tokenizer.from_file(path).encode_batch(samples, add_special_tokens=False)]
+    assert packing.encoder(path).encode(samples) == want
+
+
+def test_known_ids_forget_what_came_once():
+    made = []
+    known = packing._Known(lambda k: made.append(k) or k.encode(), 3)
+    for k in "abcabdaeafagah":
+        assert known[k] == k.encode() and len(known) <= 3 and len(known.old) <= 3
+    assert made.count("a") == 1 and made.count("h") == 1
+
+
 def test_line_chunks_equal_their_sql(spark):
     import duckdb
 
