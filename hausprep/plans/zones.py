@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from hausprep.operators.schema import apply_types, inferred_schema, na_tokens, nan_to_null
 from hausprep.operators.setops import distinct_columns, distinct_rows
+from hausprep.session import materialize, scratch_scope
 from hausprep.sinks.files import write_parquet
 from hausprep.sources.catalog import append_load, create_if_not_exists, list_tables, qualified
 from hausprep.sources.files import csv_names, empty_guard, read_csv_text, scan_csv_dir
@@ -104,7 +105,9 @@ def import_directory(spark: SparkSession, directory: str, database: str,
         name, table = item
         if per_table[table] > 1:
             raise ValueError(f"{per_table[table]} files give the table name {table}")
-        n = load_typed(na_tokens(read_csv_text(spark, f"{base}/{name}", multi_line=multi_line)), table, database, run_id=run_id)
+        with scratch_scope(spark):      # the file is parsed once; inference and load read the parsed rows
+            rows = materialize(na_tokens(read_csv_text(spark, f"{base}/{name}", multi_line=multi_line)), "import")
+            n = load_typed(rows, table, database, run_id=run_id)
         return (name, table, "loaded", n, None)
 
     rows += _run_isolated([(n, table_name_for(n)) for n in included], load, parallelism)
