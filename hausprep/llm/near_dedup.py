@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hausprep.llm.common import fresh_name, in_pieces, pick, record, words_of
+from hausprep.llm.common import fresh_name, in_pieces, record, words_of
 from hausprep.llm.components import connected_components
 from hausprep.session import materialize
 

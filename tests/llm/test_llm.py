@@ -7,7 +7,6 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 import corpus_pipeline
 from conftest import SF_SMALL
@@ -17,7 +16,6 @@ from hausprep.llm import (
     line_chunks,
     near_dedup,
     packing,
-    quality_classifier,
     quality_rules,
     queries,
     token_counts,
