@@ -21,23 +21,86 @@ def union_by_name(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
+# Text cells of a row are put in one key, with a separator and a mark for null; cells that hold one of these are escaped.
+_ESCAPE, _NULL, _CELL_END = "\x1d", "\x1e", "\x1f"
+_ESCAPED = ((_ESCAPE, _ESCAPE + "0"), (_NULL, _ESCAPE + "1"), (_CELL_END, _ESCAPE + "2"))
+
+
+def _packed(cells: Column) -> Column:
+    """An array of text cells as one text; different rows have different texts."""
+    def escaped(c):
+        for mark, code in _ESCAPED:
+            c = F.replace(c, F.lit(mark), F.lit(code))
+        return c
+
+    text = F.array_join(cells, "")
+    odd = reduce(lambda a, b: a | b, [F.contains(text, F.lit(mark)) for mark, _ in _ESCAPED])
+    pack = lambda cs: F.array_join(cs, _CELL_END, _NULL)
+    return F.when(odd, pack(F.transform(cells, escaped))).otherwise(pack(cells))
+
+
+def _unpacked(row: Column, n: int) -> Column:
+    """The ``n`` cells of :func:`_packed`; a null cell is null in rows with an escaped one, else ``_NULL``.  Text that is no UTF-8 is cut out by bytes, and stays as it is."""
+    def decoded(c):
+        plain = c
+        for mark, code in reversed(_ESCAPED):
+            plain = F.replace(plain, F.lit(code), F.lit(mark))
+        return F.when(c != _NULL, plain)
+
+    by_bytes = F.transform(F.sequence(F.lit(1), F.lit(n)), lambda i: F.call_function(
+        "substring_index", F.call_function("substring_index", row, F.lit(_CELL_END), i), F.lit(_CELL_END), F.lit(-1)))
+    cells = F.when(F.is_valid_utf8(row), F.split(row, _CELL_END, -1)).otherwise(by_bytes)
+    return F.when(F.contains(row, F.lit(_ESCAPE)), F.transform(cells, decoded)).otherwise(cells)
+
+
 def distinct_rows(df: DataFrame, canonical_numeric: Iterable[str] = ()) -> DataFrame:
     """Drop fully duplicated rows; missing equals missing.
 
     Spark plans this as a partial hash aggregate before the shuffle, so a
     value repeated a billion times crosses the network at most once per map
-    task.  ``canonical_numeric`` names text columns whose numeric spelling
+    task.  The text cells of a row are one key in it, which takes half the space of a
+    column each.  ``canonical_numeric`` names text columns whose numeric spelling
     should not matter (see :func:`numeric_key`): rows that are equal but for it
-    become one row, the least of them in these columns, its text as it was.
-    Rows are then grouped by their hash first, so that the sort which
-    a kept text needs compares one number."""
+    become one row, the least of them in these columns, its text as it was
+    (:func:`merge_spellings`)."""
+    text = [f.name for f in df.schema.fields if f.dataType == T.StringType()]
+    out = df
+    if len(text) < 2 or len({c.lower() for c in df.columns}) < len(df.columns):
+        out = df.dropDuplicates()
+    else:
+        others = [c for c in df.columns if c not in text]
+        kept = [qcol(c).alias(f"k{i}") for i, c in enumerate(others)]
+        keyed = df.select(F.array(*[qcol(c) for c in text]).alias("cells"), *kept)
+        keyed = keyed.select(_packed(F.col("cells")).alias("row"), *[f"k{i}" for i in range(len(others))]).distinct()
+        rows = keyed.select(_unpacked(F.col("row"), len(text)).alias("cells"), F.contains("row", F.lit(_ESCAPE)).alias("decoded"),
+                            *[f"k{i}" for i in range(len(others))])
+        value = lambda c: F.col("cells")[text.index(c)]
+        cell = lambda c: F.when(F.col("decoded") | (value(c) != _NULL), value(c))
+        out = rows.select(*[(cell(c) if c in text else F.col(f"k{others.index(c)}")).alias(c) for c in df.columns])
+    return merge_spellings(out, canonical_numeric)
+
+
+def spelled_otherwise(df: DataFrame, canonical_numeric: Iterable[str]) -> Column:
+    """Whether a row spells a number of these text columns in another way than :func:`numeric_key`."""
+    odd = F.lit(False)
+    for c in canonical_numeric:
+        odd = odd | F.coalesce(numeric_key(qcol(c)) != qcol(c), F.lit(False))
+    return odd
+
+
+def merge_spellings(df: DataFrame, canonical_numeric: Iterable[str]) -> DataFrame:
+    """Of distinct rows that are equal but for the spelling of numbers, the least one.
+
+    Rows are dealt out by their hash before they are aggregated: distinct rows do not shrink before the
+    shuffle, and so the sort which a kept text needs compares one number, once."""
     numeric = [c for c in df.columns if c in set(canonical_numeric)]
     if not numeric:
-        return df.dropDuplicates()
+        return df
     keys = [numeric_key(qcol(c)) if c in numeric else qcol(c) for c in df.columns]
     keyed = df.select(*[k.alias(f"k{i}") for i, k in enumerate(keys)], F.struct(*[qcol(c).alias(f"t{i}") for i, c in enumerate(numeric)]).alias("text"))
     names = keyed.columns[:-1]
-    kept = keyed.groupBy(F.xxhash64(*names).alias("row_hash"), *names).agg(F.min("text").alias("text"))
+    keyed = keyed.withColumn("row_hash", F.xxhash64(*names)).repartition("row_hash")
+    kept = keyed.groupBy("row_hash", *names).agg(F.min("text").alias("text"))
     return kept.select(*[(F.col(f"text.t{numeric.index(c)}") if c in numeric else F.col(f"k{i}")).alias(c) for i, c in enumerate(df.columns)])
 
 
