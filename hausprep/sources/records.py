@@ -11,8 +11,11 @@ inside" to "ends inside", such functions compose, and so do those of whole split
    number of splits since that turn the state round;
 3. a second scan joins the lines of each split to records, starting from that
    state, in the order of the file and without a shuffle;
-4. a third scan, which passes on nothing else, finds the pieces of records that the
-   ends of splits cut, two per split at most; a shuffle puts them together.
+4. a third scan, of the splits that begin or end inside a cell, finds the pieces of
+   records that their ends cut, two per split at most; a shuffle puts them together.
+
+Lines whose cells are each quoted as a whole or hold no quote are recognised a batch at a
+time; only others are looked at one by one.
 
 The table of splits that is broadcast has two numbers and a flag per split (of
 ``spark.sql.files.maxPartitionBytes``): 24 bytes for 128 MB of text.  Files that Spark
@@ -37,6 +40,9 @@ _LEFT_OPEN = re.compile(r'(?:(?:"(?:[^"]+|"")*+"[^,]*+|[^",][^,]*+|),)*+"(?:[^"]
 # From inside a quoted cell: its end, what stands before the next comma, and the comma.
 _CLOSES = re.compile(r'(?:[^"]+|"")*+"[^,]*+(,?)')
 _CELL = re.compile(r'(?:"(?:[^"]+|"")*+"?)?[^,]*+,?')
+# For whole batches (RE2): a line of which each cell is quoted as a whole or holds no quote; it is a record by itself.
+_REGULAR = r'^(?:[^",]*|"(?:[^"]|"")*")(?:,(?:[^",]*|"(?:[^"]|"")*"))*\r?$'
+_QUOTED_CELL = r'"(?:[^"]|"")*"'
 
 
 def ends_inside(line: str, inside: bool) -> bool:
@@ -93,8 +99,22 @@ def _quoted(values: pa.Array) -> list[int]:
     return pc.indices_nonzero(pc.match_substring(values, '"')).to_pylist()
 
 
+def _irregular(values: pa.Array) -> list[int]:
+    """Which lines do not leave the state outside of quoted cells as it is for certain."""
+    bare = pc.invert(pc.match_substring(values, '"'))
+    regular = pc.match_substring_regex(values, _REGULAR)
+    return pc.indices_nonzero(pc.invert(pc.or_(bare, regular))).to_pylist()
+
+
+def _cell_counts(values: pa.Array) -> pa.Array:
+    """The numbers of cells of regular lines: their commas that are not quoted, and one."""
+    bare = pc.replace_substring_regex(values, _QUOTED_CELL, "")
+    return pc.add(pc.count_substring(bare, ","), 1)
+
+
 def split_states(lines: DataFrame) -> DataFrame:
-    """``split_file, split_start, inside``: whether each split begins inside a quoted cell."""
+    """``split_file, split_start, inside, cut``: whether each split begins inside a quoted cell, and whether it
+    begins or ends inside one, so that its ends cut a record."""
     schema = pa.schema([("split_file", pa.int64()), ("split_start", pa.int64()), ("outside_to", pa.bool_()), ("inside_to", pa.bool_())])
 
     def task(batches):
@@ -110,9 +130,11 @@ def split_states(lines: DataFrame) -> DataFrame:
                         yield row()
                     split, ends = key, [False, True]
                 values = part.column("value")
+                irregular = set(_irregular(values))
                 for i in _quoted(values):
-                    line = values[i].as_py()
-                    ends = [ends_inside(line, inside) for inside in ends]
+                    if i in irregular or any(ends):
+                        line = values[i].as_py()
+                        ends = [ends_inside(line, inside) for inside in ends]
         if split:
             yield row()
 
@@ -124,7 +146,9 @@ def split_states(lines: DataFrame) -> DataFrame:
     decided = F.last(F.when(F.col("outside_to") == F.col("inside_to"), F.struct("outside_to", "turns")), ignorenulls=True).over(before)
     found = found.withColumn("decided", decided)
     odd = (F.col("turns") - F.coalesce(F.col("decided.turns"), F.lit(0))) % 2 == 1
-    return found.select("split_file", "split_start", (F.coalesce(F.col("decided.outside_to"), F.lit(False)) != odd).alias("inside"))
+    found = found.withColumn("inside", F.coalesce(F.col("decided.outside_to"), F.lit(False)) != odd)
+    ends = F.when(F.col("inside"), F.col("inside_to")).otherwise(F.col("outside_to"))
+    return found.select("split_file", "split_start", "inside", (F.col("inside") | ends).alias("cut"))
 
 
 def _pieces(lines: DataFrame, *, cut: bool = False, whole_files: bool = False, quoted_breaks: bool = True) -> DataFrame:
@@ -166,9 +190,10 @@ def _pieces(lines: DataFrame, *, cut: bool = False, whole_files: bool = False, q
                 values = part.column("value")
                 has_quote = _quoted(values)
                 quoted = has_quote if quoted_breaks else []
-                if not has_quote and not inside and not header_due:            # every line is a record
+                if not inside and not header_due and not (has_quote and _irregular(values)):      # every line is a record
                     if not cut:
-                        yield rows([RECORD] * len(part), part.column("source"), values, pc.add(pc.count_substring(values, ","), 1))
+                        cells = _cell_counts(values) if has_quote else pc.add(pc.count_substring(values, ","), 1)
+                        yield rows([RECORD] * len(part), part.column("source"), values, cells)
                     continue
                 quoted, kinds, out = set(quoted), [], []
                 for i, line in enumerate(values.to_pylist()):
@@ -216,7 +241,7 @@ def csv_records(spark: SparkSession, paths: Sequence[str], source: Column, *, sp
     if not split:
         return _clean(_pieces(lines.withColumn("inside", F.lit(False)), whole_files=True))
     lines = lines.join(F.broadcast(split_states(lines)), ["split_file", "split_start"], "left")
-    cut = _pieces(lines, cut=True)
+    cut = _pieces(lines.where("cut").drop("cut"), cut=True)
     order = Window.partitionBy("split_file").orderBy("split_start", "kind").rowsBetween(Window.unboundedPreceding, 0)
     cut = cut.withColumn("record", F.count_if(F.col("kind") >= TAIL).over(order))
     joined = cut.groupBy("split_file", "record").agg(
@@ -224,7 +249,7 @@ def csv_records(spark: SparkSession, paths: Sequence[str], source: Column, *, sp
         F.first("source").alias("source")).where(F.col("last") != HEADER_TAIL)
     joined = joined.select("split_file", F.lit(0).cast("long").alias("split_start"), F.lit(RECORD).alias("kind"), "source",
                            F.concat_ws("\n", F.transform("parts", lambda p: p["value"])).alias("value"), F.lit(0).alias("cells"))
-    return _clean(_pieces(lines).unionByName(_counted(joined)))
+    return _clean(_pieces(lines.drop("cut")).unionByName(_counted(joined)))
 
 
 def _clean(pieces: DataFrame) -> DataFrame:
