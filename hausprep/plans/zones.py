@@ -13,10 +13,10 @@ import re
 from collections import Counter
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from hausprep.operators.schema import apply_types, inferred_schema, na_tokens, nan_to_null
-from hausprep.operators.setops import distinct_columns, distinct_rows
+from hausprep.operators.setops import distinct_columns, distinct_rows, fingerprint_exprs
 from hausprep.session import materialize, scratch_scope
 from hausprep.sinks.files import write_parquet
 from hausprep.sources.catalog import append_load, create_if_not_exists, list_tables, qualified
@@ -47,10 +47,10 @@ def dedupe_files(spark: SparkSession, source_dir: str, work_dir: str, *, multi_l
     write_parquet(na_tokens(scan_csv_dir(spark, source_dir, source_column=None, multi_line=multi_line)), raw_path)
     raw = spark.read.parquet(raw_path)
     deduped = distinct_rows(raw)
-    # The Parquet file is the checkpoint: both passes of U3 read it.
-    dedup_path = f"{work_dir.rstrip('/')}/_dedup.parquet"
-    write_parquet(deduped, dedup_path)
-    write_parquet(distinct_columns(spark.read.parquet(dedup_path)), clean_path)
+    # The Parquet file is the checkpoint: U3's fingerprints ride along its write, its second pass reads it.
+    dedup_path, prints = f"{work_dir.rstrip('/')}/_dedup.parquet", Observation("dedupe_files")
+    write_parquet(deduped.observe(prints, *fingerprint_exprs(deduped)), dedup_path)
+    write_parquet(distinct_columns(spark.read.parquet(dedup_path), fingerprints=prints.get), clean_path)
     return spark.read.parquet(clean_path)
 
 
