@@ -19,7 +19,7 @@ from hausprep.operators.profile import (
     summarise_frequencies,
     value_frequencies,
 )
-from hausprep.operators.setops import canonical_numbers, distinct_columns, fingerprint_exprs
+from hausprep.operators.setops import canonical_numbers, distinct_columns, distinct_rows, fingerprint_exprs
 from hausprep.plans.listings import (
     ListingColumns,
     ListingOutput,
@@ -64,11 +64,10 @@ def stage_metrics(frames, cols: ListingColumns = ListingColumns(),
     every final column.  Frame ``(stage, rows)``.
 
     The source is no part of a row's identity: the same listing in two
-    sources is one row.  Copies are counted per row and source in one
-    aggregate (written once if there is a source column), so the raw input
-    is read once; the number of distinct rows and U3's fingerprints are
-    observed during the write of the deduplicated rows.  Both are result
-    stages, so the values are exact even when tasks are retried.  The few rows are
+    sources is one row, so the deduplicated rows are shuffled and written once, without it;
+    their number and U3's fingerprints are observed in that write, a result stage, so the values
+    are exact even when tasks are retried.  Rows per source are a count of that column alone, a second
+    look at the raw input that moves no rows.  The few rows are
     worked out at once, and the intermediate tables deleted."""
     spark = (frames if isinstance(frames, DataFrame) else frames[0]).sparkSession
     with scratch_scope(spark):
@@ -80,18 +79,12 @@ def _stage_metrics(frames, cols: ListingColumns, out: ListingOutput, source_colu
     raw = load_stage(frames)
     by_source = source_column is not None and source_column in raw.columns
     raw = canonical_numbers(raw, numeric_text(raw, cols))
-    copies = "__copies"
-    if by_source:
-        raw = materialize(raw.groupBy(*[qcol(c) for c in raw.columns]).agg(F.count(F.lit(1)).alias(copies)), "copies")
-    else:
-        raw = raw.withColumn(copies, F.lit(1).cast("bigint"))
-    identity = [c for c in raw.columns if c not in (copies, source_column if by_source else copies)]
-    dedup = raw.groupBy(*[qcol(c) for c in identity]).agg(F.sum(copies).alias(copies))
-    keys = dedup.drop(copies)
-    written, metrics = materialize_observed(
-        dedup, [*fingerprint_exprs(keys), F.sum(copies).alias("__raw_rows"),
-                F.count(F.lit(1)).alias("__dedup_rows")], "stage_metrics")
-    deduped = written.drop(copies)
+    keys = distinct_rows(raw.drop(source_column) if by_source else raw)
+    deduped, metrics = materialize_observed(
+        keys, [*fingerprint_exprs(keys), F.count(F.lit(1)).alias("__dedup_rows")], "stage_metrics")
+    # Rows per source and in all: one count, of which only the source column is read.
+    sources = qcol(source_column).cast("string") if by_source else F.lit(None).cast("string")
+    loaded = [(s, n) for s, n in raw.groupBy(sources.alias("source")).agg(F.count(F.lit(1))).collect()]
     present = [c for c in [*cols.roles().values(), *cols.unused] if c in deduped.columns]
     complete = drop_incomplete(distinct_columns(deduped, protect=present, fingerprints=metrics),
                                cols.required_for_address())
@@ -106,14 +99,11 @@ def _stage_metrics(frames, cols: ListingColumns, out: ListingOutput, source_colu
 
     every = F.count(F.lit(1))
     observed = deduped.sparkSession.createDataFrame(
-        [("raw", int(metrics["__raw_rows"] or 0)), ("after_dedup", int(metrics["__dedup_rows"]))],
+        [("raw", sum(n for _, n in loaded)), ("after_dedup", int(metrics["__dedup_rows"])),
+         *([(f"raw:{s or ''}", n) for s, n in loaded] if by_source else [])],
         "stage string, rows bigint")
     result = observed.unionByName(counts(complete, ("after_dropna", every))).unionByName(
         counts(final, ("final", every), *[(f"nulls:{c}", F.count_if(_missing(final, c))) for c in final.columns]))
-    if by_source:
-        result = result.unionByName(
-            raw.groupBy(qcol(source_column)).agg(F.sum(copies).alias("rows"))
-            .select(F.concat(F.lit("raw:"), F.coalesce(qcol(source_column).cast("string"), F.lit(""))).alias("stage"), "rows"))
     return result
 
 
