@@ -116,9 +116,16 @@ def profile_table(df: DataFrame, columns: Sequence[str] | None = None, *, top_n:
     The grouped ``(column, value)`` counts are made once and give distinct values, top and top-N (so no
     per-column ``count(DISTINCT)`` expansion, and no column's values are sorted: a task passes on
     its ``top_n`` best of each column); counts of all columns are one aggregate, and A7's another
-    with its brackets."""
+    with its brackets.  These passes read the columns as written once, so what made them runs once;
+    the few rows are worked out at once, and the table goes at the end."""
     cols = list(columns) if columns is not None else df.columns
-    df = df.select(*[qcol(c) for c in cols])
+    spark = df.sparkSession
+    with scratch_scope(spark):
+        result = _profile(materialize(df.select(*[qcol(c) for c in cols]), "profile"), cols, top_n)
+        return spark.createDataFrame(result.collect(), result.schema)
+
+
+def _profile(df: DataFrame, cols: Sequence[str], top_n: int) -> DataFrame:
     info = schema_info(df, with_rows=True)
     counts = value_frequencies(df, cols)
     best = Window.partitionBy("column_name").orderBy(F.desc("freq"), "value")
