@@ -132,10 +132,25 @@ def classify_first(
     c: Column | str, vocabulary: Sequence[tuple[str, Sequence[str]]], *, tokens: Column | None = None,
     key: Column | None = None,
 ) -> Column:
-    """The first label (in vocabulary order) with any hit; else missing."""
+    """The first label (in vocabulary order) with any hit; else missing.
+
+    Without a ``key``, each token is looked up once in the hashed sets of the labels, and the first
+    label found counts: with several vocabularies in one projection, searches for each term make a generated
+    method so long that the JVM does not compile it."""
     if tokens is None:
         tokens = tokens_match(c)
-        key = token_key(tokens)
+    if key is None:
+        named = [(label, list(terms)) for label, terms in vocabulary if terms]
+        if not named:
+            return F.lit(None).cast("string")
+
+        def rank(token):
+            out = F.when(token.isin(named[0][1]), F.lit(1))
+            for i, (_, terms) in enumerate(named[1:], 2):
+                out = out.when(token.isin(terms), F.lit(i))
+            return out
+
+        return F.element_at(F.array(*[F.lit(label) for label, _ in named]), F.array_min(F.transform(tokens, rank)))
     return F.coalesce(
         *[F.when(has_any(tokens, terms, key=key), F.lit(label)) for label, terms in vocabulary],
         F.lit(None).cast("string"),

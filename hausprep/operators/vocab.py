@@ -4,11 +4,12 @@ such a data-derived vocabulary."""
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hausprep.functions.tokens import contains_any, has_any, tokens_vocab
+from hausprep.functions.tokens import clean_list_text, has_any, tokens_vocab
 from hausprep.operators.common import qcol
 from hausprep.session import materialize, materialize_observed
 
@@ -45,11 +46,13 @@ def garage_vocab(
     """V2: lower-cased tokens of the union of the columns' vocabularies that
     contain any keyword as a substring, without the excluded term (every
     case variant of it)."""
-    # All columns in one scan; a null cell has no tokens.
+    # All columns in one scan.  A cell without any keyword has no term, nor has a null cell: neither is split.
     none = F.array().cast("array<string>")
-    tokens = F.concat(*[F.coalesce(tokens_vocab(qcol(c)), none) for c in columns])
-    lowered = df.select(F.explode(tokens).alias(name)).select(F.lower(F.col(name)).alias(name))
-    return (lowered.where(contains_any(F.col(name), keywords) & (F.col(name) != F.lit(excluded.lower())))
+    texts = df.select(*[F.lower(clean_list_text(qcol(c))).alias(f"c{i}") for i, c in enumerate(columns)])
+    has = lambda text: reduce(lambda a, b: a | b, [F.contains(text, F.lit(k.lower())) for k in keywords])
+    tokens = F.concat(*[F.when(has(F.col(t)), tokens_vocab(F.col(t))).otherwise(none) for t in texts.columns])
+    return (texts.select(F.explode(tokens).alias(name))
+            .where(has(F.col(name)) & (F.col(name) != F.lit(excluded.lower())))
             .distinct())
 
 
