@@ -150,7 +150,7 @@ def classify_first(
                 out = out.when(token.isin(terms), F.lit(i))
             return out
 
-        return F.element_at(F.array(*[F.lit(label) for label, _ in named]), F.array_min(F.transform(tokens, rank)))
+        return F.try_element_at(F.array(*[F.lit(label) for label, _ in named]), F.array_min(F.transform(tokens, rank)))
     return F.coalesce(
         *[F.when(has_any(tokens, terms, key=key), F.lit(label)) for label, terms in vocabulary],
         F.lit(None).cast("string"),
