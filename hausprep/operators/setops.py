@@ -53,19 +53,20 @@ def _unpacked(row: Column, n: int) -> Column:
     return F.when(F.contains(row, F.lit(_ESCAPE)), F.transform(cells, decoded)).otherwise(cells)
 
 
-def distinct_rows(df: DataFrame, canonical_numeric: Iterable[str] = ()) -> DataFrame:
+def distinct_rows(df: DataFrame, canonical_numeric: Iterable[str] = (), *, packed: bool = False) -> DataFrame:
     """Drop fully duplicated rows; missing equals missing.
 
     Spark plans this as a partial hash aggregate before the shuffle, so a
     value repeated a billion times crosses the network at most once per map
-    task.  The text cells of a row are one key in it, which takes half the space of a
-    column each.  ``canonical_numeric`` names text columns whose numeric spelling
+    task.  With ``packed`` the text cells of a row are one key in it, which takes half the space
+    of a column each and so spills less, at the price of putting the cells together and taking them
+    apart; Spark then no longer drops equal branches of a union.  ``canonical_numeric`` names text columns whose numeric spelling
     should not matter (see :func:`numeric_key`): rows that are equal but for it
     become one row, the least of them in these columns, its text as it was
     (:func:`merge_spellings`)."""
     text = [f.name for f in df.schema.fields if f.dataType == T.StringType()]
     out = df
-    if len(text) < 2 or len({c.lower() for c in df.columns}) < len(df.columns):
+    if not packed or len(text) < 2 or len({c.lower() for c in df.columns}) < len(df.columns):
         out = df.dropDuplicates()
     else:
         others = [c for c in df.columns if c not in text]

@@ -154,11 +154,11 @@ def dedupe_stage(raw: DataFrame, cols: ListingColumns, *, checkpoint: bool = Tru
     numeric listing columns unless given."""
     numeric = numeric_text(raw, cols, canonical_numeric)
     if not checkpoint:
-        deduped, prints = distinct_rows(raw, canonical_numeric=numeric), None
+        deduped, prints = distinct_rows(raw, canonical_numeric=numeric, packed=True), None
     else:
         # U3's fingerprint pass rides along the write that materialises U2, and the number of rows that spell
         # numbers in an unusual way: without any, equal numbers are equal texts and the rows need no second pass.
-        deduped = distinct_rows(raw)
+        deduped = distinct_rows(raw, packed=True)
         odd = F.count_if(spelled_otherwise(deduped, numeric)).alias("odd_spelling")
         deduped, prints = materialize_observed(deduped, [*fingerprint_exprs(deduped), odd], "dedup")
         if prints["odd_spelling"]:

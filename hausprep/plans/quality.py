@@ -79,7 +79,7 @@ def _stage_metrics(frames, cols: ListingColumns, out: ListingOutput, source_colu
     raw = load_stage(frames)
     by_source = source_column is not None and source_column in raw.columns
     raw = canonical_numbers(raw, numeric_text(raw, cols))
-    keys = distinct_rows(raw.drop(source_column) if by_source else raw)
+    keys = distinct_rows(raw.drop(source_column) if by_source else raw, packed=True)
     deduped, metrics = materialize_observed(
         keys, [*fingerprint_exprs(keys), F.count(F.lit(1)).alias("__dedup_rows")], "stage_metrics")
     # Rows per source and in all: one count, of which only the source column is read.

@@ -46,7 +46,7 @@ def dedupe_files(spark: SparkSession, source_dir: str, work_dir: str, *, multi_l
     clean_path = f"{work_dir.rstrip('/')}/cleaned_data.parquet"
     write_parquet(na_tokens(scan_csv_dir(spark, source_dir, source_column=None, multi_line=multi_line)), raw_path)
     raw = spark.read.parquet(raw_path)
-    deduped = distinct_rows(raw)
+    deduped = distinct_rows(raw, packed=True)
     # The Parquet file is the checkpoint: U3's fingerprints ride along its write, its second pass reads it.
     dedup_path, prints = f"{work_dir.rstrip('/')}/_dedup.parquet", Observation("dedupe_files")
     write_parquet(deduped.observe(prints, *fingerprint_exprs(deduped)), dedup_path)

@@ -23,7 +23,7 @@ def plan(df):
 
 def test_text_cells_move_as_one_key(spark):
     df = spark.createDataFrame([(1, "a", "b", "c")], "id int, x string, y string, z string")
-    exchange = next(line for line in plan(S.distinct_rows(df)).splitlines() if "Exchange hashpartitioning" in line)
+    exchange = next(line for line in plan(S.distinct_rows(df, packed=True)).splitlines() if "Exchange hashpartitioning" in line)
     assert "row#" in exchange and "x#" not in exchange and "z#" not in exchange
 
 
@@ -33,7 +33,7 @@ def test_packed_rows_are_exact(spark):
     df = spark.createDataFrame(rows, "x string, y string, z string, n double")
     df = df.unionByName(spark.sql("SELECT cast(x'ff41fe' AS string) AS x, 'y' AS y, cast(x'80' AS string) AS z, 2D AS n"))
     shown = lambda d: sorted(map(str, d.select(*[F.hex(c).alias(c) for c in "xyz"], "n").collect()))
-    assert shown(S.distinct_rows(df)) == shown(df.dropDuplicates()) and S.distinct_rows(df).count() == 82
+    assert shown(S.distinct_rows(df, packed=True)) == shown(df.dropDuplicates()) and S.distinct_rows(df, packed=True).count() == 82
 
 
 def test_spellings_are_merged_only_where_there_are_any(spark, monkeypatch):
