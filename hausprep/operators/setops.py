@@ -6,7 +6,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,14 +26,13 @@ _ESCAPE, _NULL, _CELL_END = "\x1d", "\x1e", "\x1f"
 _ESCAPED = ((_ESCAPE, _ESCAPE + "0"), (_NULL, _ESCAPE + "1"), (_CELL_END, _ESCAPE + "2"))
 
 
-def _packed(cells: Column) -> Column:
-    """An array of text cells as one text; different rows have different texts."""
+def _packed(cells: Column, text: Column) -> Column:
+    """An array of text cells as one text; different rows have different texts.  ``text``: the cells one after another, a column of its own, as it is searched three times."""
     def escaped(c):
         for mark, code in _ESCAPED:
             c = F.replace(c, F.lit(mark), F.lit(code))
         return c
 
-    text = F.array_join(cells, "")
     odd = reduce(lambda a, b: a | b, [F.contains(text, F.lit(mark)) for mark, _ in _ESCAPED])
     pack = lambda cs: F.array_join(cs, _CELL_END, _NULL)
     return F.when(odd, pack(F.transform(cells, escaped))).otherwise(pack(cells))
@@ -72,7 +71,8 @@ def distinct_rows(df: DataFrame, canonical_numeric: Iterable[str] = (), *, packe
         others = [c for c in df.columns if c not in text]
         kept = [qcol(c).alias(f"k{i}") for i, c in enumerate(others)]
         keyed = df.select(F.array(*[qcol(c) for c in text]).alias("cells"), *kept)
-        keyed = keyed.select(_packed(F.col("cells")).alias("row"), *[f"k{i}" for i in range(len(others))]).distinct()
+        keyed = keyed.withColumn("text", F.array_join("cells", ""))
+        keyed = keyed.select(_packed(F.col("cells"), F.col("text")).alias("row"), *[f"k{i}" for i in range(len(others))]).distinct()
         rows = keyed.select(_unpacked(F.col("row"), len(text)).alias("cells"), F.contains("row", F.lit(_ESCAPE)).alias("decoded"),
                             *[f"k{i}" for i in range(len(others))])
         value = lambda c: F.col("cells")[text.index(c)]
@@ -165,12 +165,13 @@ def _canonical(c: str, dt: T.DataType) -> Column:
     return col
 
 
-def fingerprint_exprs(df: DataFrame) -> list[Column]:
+def fingerprint_exprs(df: DataFrame, row_hash: Column | None = None) -> list[Column]:
     """Pass 1 of U3 as aggregate expressions (``h<i>``, ``s<i>``, ``n<i>`` per column).
     They can also ride along another job, e.g. ``DataFrame.observe`` on the
-    write that materialises the frame, so pass 1 costs no scan of its own."""
+    write that materialises the frame, so pass 1 costs no scan of its own.
+    ``row_hash``: the hash of all cells of a row, if it is a column already."""
     fields = list(df.schema.fields)
-    row_hash = F.xxhash64(*[qcol(f.name) for f in fields])
+    row_hash = F.xxhash64(*[qcol(f.name) for f in fields]) if row_hash is None else row_hash
     aggs = []
     for i, f in enumerate(fields):
         value_hash = F.xxhash64(row_hash, _canonical(f.name, f.dataType))
@@ -181,6 +182,13 @@ def fingerprint_exprs(df: DataFrame) -> list[Column]:
     return aggs
 
 
+def column_fingerprints(df: DataFrame, *more: Column) -> Row:
+    """:func:`fingerprint_exprs` (and ``more`` aggregates) by a scan of their own, which works out the hash of a row once and not for each column."""
+    name = "row_hash" + "_" * max(map(len, df.columns))      # longer than any column's
+    hashed = df.withColumn(name, F.xxhash64(*[qcol(c) for c in df.columns]))
+    return hashed.agg(*fingerprint_exprs(df, F.col(name)), *more).first()
+
+
 def duplicate_columns(df: DataFrame, protect: Iterable[str] = (), *, fingerprints=None) -> list[str]:
     """Names of the columns U3 removes, in column order.
 
@@ -199,7 +207,7 @@ def duplicate_columns(df: DataFrame, protect: Iterable[str] = (), *, fingerprint
     if len(fields) < 2:
         return []
     protected = set(protect)
-    prints = fingerprints if fingerprints is not None else df.agg(*fingerprint_exprs(df)).first()
+    prints = fingerprints if fingerprints is not None else column_fingerprints(df)
 
     groups: dict[tuple, list[int]] = {}
     for i, f in enumerate(fields):

@@ -12,17 +12,29 @@ from __future__ import annotations
 import re
 from collections import Counter
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from hausprep.operators.common import qcol
 from hausprep.operators.schema import apply_types, inferred_schema, na_tokens, nan_to_null
-from hausprep.operators.setops import distinct_columns, distinct_rows, fingerprint_exprs
-from hausprep.session import materialize, scratch_scope
+from hausprep.operators.setops import column_fingerprints, distinct_columns, distinct_rows
+from hausprep.session import materialize, read_parquet_with, scratch_scope
 from hausprep.sinks.files import write_parquet
+from hausprep.sources import fs
 from hausprep.sources.catalog import append_load, create_if_not_exists, list_tables, qualified
 from hausprep.sources.files import csv_names, empty_guard, read_csv_text, scan_csv_dir
 from hausprep.vocabularies import CLEANED_FILE_MARKER
 
+PARQUET_OPTIONS = {"compression": "zstd"}
+#: Small row groups: a task reads whole ones.
+RAW_OPTIONS = PARQUET_OPTIONS | {"parquet.block.size": str(16 << 20)}
+TASK_TEXT = 128 << 20
+LEAST_SPLIT = 1 << 20
+#: More reduce tasks than these only if the session asks for them.
+MOST_PARTITIONS = 2000
+
 REPORT_SCHEMA = "item string, table_name string, status string, rows bigint, message string"
 
 
@@ -37,20 +49,35 @@ def table_name_for(file_name: str) -> str:
     return re.sub(r"[^0-9a-zA-Z_]+", "_", stem).strip("_").lower() or "table"
 
 
+def _read_in_small_tasks(spark: SparkSession, path: str, text_bytes: int) -> DataFrame:
+    """The Parquet table at ``path``, which holds so much text.  A task that reads it gets about ``TASK_TEXT`` bytes of that,
+    and a reduce task no more than twice as much before rows meet, so that neither spills its hash table.  Parquet packs
+    repetitive text tightly: by the size of the files alone, a task could get gigabytes of rows."""
+    as_bytes = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    split = max(sum(fs.sizes(spark, path)) * TASK_TEXT // max(text_bytes, 1), LEAST_SPLIT)
+    partitions = min(text_bytes // (2 * TASK_TEXT) + 1, MOST_PARTITIONS)
+    return read_parquet_with(spark, path, {
+        "spark.sql.files.maxPartitionBytes": str(min(split, as_bytes(spark.conf.get("spark.sql.files.maxPartitionBytes")))),
+        "spark.sql.shuffle.partitions": str(max(partitions, int(spark.conf.get("spark.sql.shuffle.partitions"))))})
+
+
 def dedupe_files(spark: SparkSession, source_dir: str, work_dir: str, *, multi_line: bool = True) -> DataFrame:
     """All CSVs of a directory, missing-value markers made null (C1) ->
     one raw Parquet table -> duplicate rows and columns removed -> clean
     Parquet table (returned, read back).  ``multi_line=False`` lets large
-    files without line breaks inside cells be read by many tasks."""
+    files without line breaks inside cells be read by many tasks.
+
+    All cells are text here, so columns are equal on the raw rows if and only if they are on the distinct ones.  The
+    copies go first: they are not shuffled, and no table of distinct rows stands between.  The fingerprints of U3 have a
+    scan of the raw table of their own: observed in its write, they took more than twice the time."""
     raw_path = f"{work_dir.rstrip('/')}/raw_data.parquet"
     clean_path = f"{work_dir.rstrip('/')}/cleaned_data.parquet"
-    write_parquet(na_tokens(scan_csv_dir(spark, source_dir, source_column=None, multi_line=multi_line)), raw_path)
+    write_parquet(na_tokens(scan_csv_dir(spark, source_dir, source_column=None, multi_line=multi_line)), raw_path, options=RAW_OPTIONS)
     raw = spark.read.parquet(raw_path)
-    deduped = distinct_rows(raw, packed=True)
-    # The Parquet file is the checkpoint: U3's fingerprints ride along its write, its second pass reads it.
-    dedup_path, prints = f"{work_dir.rstrip('/')}/_dedup.parquet", Observation("dedupe_files")
-    write_parquet(deduped.observe(prints, *fingerprint_exprs(deduped)), dedup_path)
-    write_parquet(distinct_columns(spark.read.parquet(dedup_path), fingerprints=prints.get), clean_path)
+    text = reduce(Column.__add__, [F.coalesce(F.octet_length(qcol(c)), F.lit(0)) for c in raw.columns])
+    found = column_fingerprints(raw, F.sum(text.cast("bigint")).alias("text_bytes"))
+    raw = _read_in_small_tasks(spark, raw_path, found["text_bytes"] or 0)
+    write_parquet(distinct_rows(distinct_columns(raw, fingerprints=found), packed=True), clean_path, options=PARQUET_OPTIONS)
     return spark.read.parquet(clean_path)
 
 

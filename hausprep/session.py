@@ -49,6 +49,18 @@ def build_session(
     return spark
 
 
+def read_parquet_with(spark: SparkSession, path: str, settings: dict[str, str]) -> DataFrame:
+    """A Parquet table, for a job with settings of its own; the others are the session's.
+
+    The session keeps its settings, by which other threads may be reading files, and no second Python session is made,
+    which would take over ``RDD.toDF``."""
+    beside = spark._jsparkSession.newSession()
+    for key, value in (spark.conf.getAll | settings).items():
+        if beside.conf().isModifiable(key) or not key.startswith("spark."):
+            beside.conf().set(key, value)
+    return DataFrame(beside.read().parquet(path), spark)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names for checkpoints.
 

@@ -28,9 +28,9 @@ def write_csv_dated(df: DataFrame, directory: str, *, prefix: str = "cleaned_can
 
 
 def write_parquet(df: DataFrame, path: str, *, mode: str = "overwrite",
-                  partition_by: Sequence[str] | None = None) -> str:
-    """Parquet (column names with spaces round-trip)."""
-    w = df.write.mode(mode)
+                  partition_by: Sequence[str] | None = None, options: Mapping[str, str] | None = None) -> str:
+    """Parquet (column names with spaces round-trip); ``options`` are those of Spark's writer."""
+    w = df.write.mode(mode).options(**(options or {}))
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)

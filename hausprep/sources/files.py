@@ -8,7 +8,8 @@ pandas write.
 
 Records are found by :mod:`hausprep.sources.records`, over many tasks also where
 cells hold line breaks, and parsed by ``from_csv``.  Files with the same header
-are one scan, however many they are.
+are one scan, however many they are.  Files may be compressed, as their names tell; one
+task then reads a whole file (but of ``.bz2``), so land large ones in many parts.
 
 A record with more cells than the header names has no place for the last ones.
 ``malformed="raise"`` (the default) raises when such a record is read, whatever
@@ -101,7 +102,7 @@ def _scan(spark: SparkSession, files: Sequence[tuple[str, str]], source_column:
     A file's source is its name (or ``label`` over it); a Spark output directory's is the directory's name."""
     with ThreadPoolExecutor(HEADER_THREADS) as pool:
         headers = list(pool.map(lambda f: tuple(dedupe_column_names(csv_header(spark, f[1], multi_line=multi_line))), files))
-        sizes = list(pool.map(lambda f: fs.sizes(spark, f[1]), files))
+        sizes = list(pool.map(lambda f: fs.split_sizes(spark, f[1]), files))
     as_bytes = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
     never_split = min(as_bytes(spark.conf.get(f"spark.sql.files.{c}")) for c in ("openCostInBytes", "maxPartitionBytes"))
     groups: dict[tuple, list[int]] = {}

@@ -4,6 +4,7 @@ never file contents."""
 
 from __future__ import annotations
 
+from py4j.java_gateway import is_instance_of
 from pyspark.sql import SparkSession
 
 
@@ -61,9 +62,14 @@ def mkdirs(spark: SparkSession, path: str) -> None:
     fs.mkdirs(p)
 
 
+def _codecs(spark: SparkSession):
+    """Finds by a file's name how it is compressed, as Spark's text reader does."""
+    return spark.sparkContext._jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def first_lines(spark: SparkSession, path: str, enough) -> str:
     """The first lines of a text file (of the first file with text in a directory), as many as ``enough(text)`` asks for.
-    A line ends at a line feed only.  This reads a file's header, not its rows."""
+    A line ends at a line feed only.  This reads a file's header, not its rows.  A file may be compressed."""
     fs, p = _fs(spark, path)
     status = fs.getFileStatus(p)
     if status.isDirectory():
@@ -74,7 +80,9 @@ def first_lines(spark: SparkSession, path: str, enough) -> str:
                     return text
         return ""
     jvm = spark.sparkContext._jvm
-    scanner = jvm.java.util.Scanner(fs.open(p), "UTF-8").useDelimiter("\n")
+    codec = _codecs(spark).getCodec(p)
+    stream = codec.createInputStream(fs.open(p)) if codec else fs.open(p)
+    scanner = jvm.java.util.Scanner(stream, "UTF-8").useDelimiter("\n")
     try:
         lines: list[str] = []
         while scanner.hasNext():
@@ -92,3 +100,16 @@ def sizes(spark: SparkSession, path: str) -> list[int]:
     fs, p = _fs(spark, path)
     status = fs.getFileStatus(p)
     return [s.getLen() for s in fs.listStatus(p)] if status.isDirectory() else [status.getLen()]
+
+
+def split_sizes(spark: SparkSession, path: str) -> list[int]:
+    """:func:`sizes` without the files of which each is read by one task whatever its size, as it is compressed in one piece."""
+    fs, p = _fs(spark, path)
+    status = fs.getFileStatus(p)
+    factory = _codecs(spark)
+    found = []
+    for s in fs.listStatus(p) if status.isDirectory() else [status]:
+        codec = factory.getCodec(s.getPath())
+        if codec is None or is_instance_of(spark.sparkContext._gateway, codec, "org.apache.hadoop.io.compress.SplittableCompressionCodec"):
+            found.append(s.getLen())
+    return found
